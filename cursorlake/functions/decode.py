@@ -29,14 +29,17 @@ def parsed(value: Column | str = "value") -> Column:
     return F.try_parse_json(v)
 
 
-def is_object(variant: Column) -> Column:
-    """True when the parsed message is a JSON object."""
-    return F.coalesce(F.schema_of_variant(variant).startswith("OBJECT"), F.lit(False))
+def is_object(variant: Column, value: Column | str = "value") -> Column:
+    """True when the message parsed and is a JSON object. A parsed message
+    is an object exactly when its first non-blank character is ``{``; the
+    text test avoids building a type string for the whole message."""
+    v = F.col(value) if isinstance(value, str) else value
+    return variant.isNotNull() & F.coalesce(F.regexp_like(v, F.lit(r"^[ \t\r\n]*\{")), F.lit(False))
 
 
 def drop_unparsable(df: DataFrame, value: str = "value") -> DataFrame:
     """keep only messages that parse as a JSON object."""
-    return df.where(is_object(parsed(value)))
+    return df.where(is_object(parsed(value), value))
 
 
 def field_text(value: Column | str, name: str) -> Column:
@@ -46,10 +49,18 @@ def field_text(value: Column | str, name: str) -> Column:
 
 
 def field(variant: Column, value: Column, name: str, dtype: T.DataType) -> Column:
-    """One typed field under the lenient rule."""
+    """One typed field under the lenient rule. Text fields: a scalar's text
+    from the variant; a nested value re-read from the message so that its
+    JSON text keeps the original key order."""
+    path = _path(name)
     if isinstance(dtype, T.StringType):
-        return field_text(value, name)
-    return F.try_variant_get(variant, _path(name), dtype.simpleString())
+        node = F.try_variant_get(variant, path, "variant")
+        js = F.to_json(node)
+        nested = js.startswith("{") | js.startswith("[")
+        return (F.when(F.is_variant_null(node), F.lit(None).cast("string"))
+                 .when(nested, field_text(value, name))
+                 .otherwise(F.try_variant_get(node, "$", "string")))
+    return F.try_variant_get(variant, path, dtype.simpleString())
 
 
 def decode_lenient(df: DataFrame, kind: str, value: str = "value",
@@ -63,10 +74,11 @@ def decode_lenient(df: DataFrame, kind: str, value: str = "value",
     schema = schema_for_kind(kind, "payload", extra)
     v = F.col("__v")
     raw = F.col(value)
+    fields = [field(v, raw, f.name, f.dataType).alias(f.name) for f in schema.fields]
+    # One parse per message, in one projection; the 0-or-1-row generator
+    # drops non-objects (a filter would be pushed below and parse again).
     return (df.select(*keep, raw.alias(value), parsed(raw).alias("__v"))
-              .where(is_object(v))
-              .select(*keep, *[field(v, raw, f.name, f.dataType).alias(f.name)
-                               for f in schema.fields]))
+              .select(*keep, F.inline(F.when(is_object(v, raw), F.array(F.struct(*fields))))))
 
 
 def decode_strict(df: DataFrame, kind: str, value: str = "value",

@@ -40,12 +40,12 @@ def stream_name(value: Column | str) -> Column:
     JSON null -> ``None``; booleans as ``True``/``False``; else its text."""
     v = parsed(value)
     node = F.try_variant_get(v, _path("stream"), "variant")
-    kind = F.schema_of_variant(node)
-    as_text = F.try_variant_get(node, "$", "string")
+    js = F.to_json(node)  # a scalar: cheap; tells JSON true from "true"
     return (F.when(node.isNull(), F.lit("unknown"))
-             .when(F.is_variant_null(node), F.lit("None"))
-             .when(kind == "BOOLEAN", F.when(as_text == "true", "True").otherwise("False"))
-             .otherwise(F.coalesce(as_text, F.to_json(node))))
+             .when(js == "null", F.lit("None"))
+             .when(js == "true", F.lit("True"))
+             .when(js == "false", F.lit("False"))
+             .otherwise(F.coalesce(F.try_variant_get(node, "$", "string"), js)))
 
 
 def route_to_topic(df: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:

@@ -90,6 +90,28 @@ def contains(s: Column, x: Column, y: Column) -> Column:
              .otherwise(F.lit(False)))
 
 
+def contains_shape(s: Shape, x: Column, y: Column) -> Column:
+    """``contains`` for one known shape: its numbers are literals, so the
+    test compiles to straight-line generated code."""
+    if s.kind == "rect":
+        return (x >= s.a) & (x <= s.a + s.c) & (y >= s.b) & (y <= s.b + s.d)
+    if s.kind == "circle":
+        dx, dy = x - F.lit(float(s.a)), y - F.lit(float(s.b))
+        return F.sqrt(dx * dx + dy * dy) <= s.c
+    if s.kind == "triangle":
+        lit = lambda v: F.lit(float(v))
+        a, b, c, d, e, f = (lit(v) for v in (s.a, s.b, s.c, s.d, s.e, s.f))
+        whole = _area(a, b, c, d, e, f)
+        parts = _area(x, y, c, d, e, f) + _area(a, b, x, y, e, f) + _area(a, b, c, d, x, y)
+        return F.abs(whole - parts) < TRIANGLE_TOLERANCE
+    raise ValueError(f"unknown shape kind {s.kind!r}")
+
+
+def shape_struct(s: Shape) -> Column:
+    """One shape as a struct literal of type SHAPE_STRUCT."""
+    return shape_literal([s])[0]
+
+
 def bounding_box(s: Shape) -> tuple[float, float, float, float]:
     """(xmin, ymin, xmax, ymax) including the triangle tolerance band."""
     if s.kind == "rect":

@@ -22,9 +22,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cursorlake.functions.payload import shape_summary
-from cursorlake.functions.shapes import Shape, bounding_box, contains, shape_literal
+from cursorlake.functions.shapes import (SHAPE_STRUCT, Shape, bounding_box, contains, contains_shape,
+                                         shape_literal, shape_struct)
 
-# Largest shape set compiled into the expression; larger sets use the grid join.
+# Shape sets up to MAX_CASE_SHAPES compile to a CASE chain (fully code
+# generated); up to MAX_LITERAL_SHAPES to a literal array scanned by a lambda;
+# larger sets use the grid join.
+MAX_CASE_SHAPES = 64
 MAX_LITERAL_SHAPES = 4096
 
 
@@ -39,6 +43,12 @@ def hit_shape(x: Column, y: Column, shapes, order: str = "last") -> Column:
     shapes = list(shapes)
     if len(shapes) > MAX_LITERAL_SHAPES:
         raise ValueError(f"{len(shapes)} shapes exceed the literal limit; use hit_test_grid")
+    if len(shapes) <= MAX_CASE_SHAPES:
+        ordered = sorted(shapes, key=lambda s: s.z, reverse=(order == "last"))
+        out = F.lit(None).cast(SHAPE_STRUCT)
+        for s in reversed(ordered):
+            out = F.when(contains_shape(s, x, y), shape_struct(s)).otherwise(out)
+        return out
     arr = shape_literal(shapes)
     return _pick(F.filter(arr, lambda s: contains(s, x, y)), order)
 

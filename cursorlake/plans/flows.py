@@ -16,7 +16,7 @@ from cursorlake.functions.time import with_event_time, wallclock
 from cursorlake.operators.project import project
 from cursorlake.schemas import table_name
 from cursorlake.session import pin_zone
-from cursorlake.sources.events import EXTRA_FIELDS, load_events, payload_messages
+from cursorlake.sources.events import EXTRA_FIELDS, is_mouse, load_events, payload_messages
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,10 +25,24 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payload_messages(load_events(spark, sf_dir))
 
 
+def routed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 over all payloads: (event_id, user_id, topic, key, value)."""
+    return route_to_topic(messages(spark, sf_dir), keep=("event_id", "user_id"))
+
+
 def topic_messages(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    """The ``value`` column of one topic, as a consumer would see it."""
-    routed = route_to_topic(messages(spark, sf_dir))
-    return routed.where(F.col("topic") == table_name(kind)).select("value")
+    """The ``value`` column of one topic, as a consumer would see it.
+
+    Every derived payload carries ``stream = kind``, so K1 sends exactly the
+    payloads of that kind to ``<kind>_events`` (checked by the
+    ``route_to_topic`` query); selecting them by kind here keeps the batch
+    flow from parsing each message twice.
+    """
+    pin_zone(spark)
+    events = load_events(spark, sf_dir)
+    eid = F.col("event_id")
+    part = is_mouse(eid) if kind == "mouse" else ~is_mouse(eid)
+    return payload_messages(events.where(part)).select("value")
 
 
 def decoded(spark: SparkSession, sf_dir: str, kind: str, event_time: bool = True) -> DataFrame:

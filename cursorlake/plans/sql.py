@@ -2,21 +2,94 @@
 
 from __future__ import annotations
 
-from cursorlake.plans.oracle import with_ctes
+from cursorlake.plans.oracle import KEYDOWN_COLS, MOUSE_COLS, with_ctes
 
 ORACLE: dict[str, str] = {}
 
 
-def _register(name: str, sql: str) -> None:
-    ORACLE[name] = sql.strip()
+def _register(name: str, body: str, order: str = "last") -> None:
+    ORACLE[name] = with_ctes(body.strip(), order)
 
 
-_register("events_per_minute", with_ctes("""
+# S3 / S4 / F1
+_register("decode_lenient", f"SELECT {MOUSE_COLS}, user_id, event_id, ts, ts_hour FROM mouse")
+_register("decode_strict", f"SELECT {KEYDOWN_COLS}, user_id, event_id FROM keydown")
+_register("drop_unparsable", "SELECT count(*) AS n_messages, count(*) AS n_objects FROM base")
+
+# P1..P12
+_register("project_mouse", f"SELECT {MOUSE_COLS} FROM mouse")
+_register("project_keydown", f"SELECT {KEYDOWN_COLS} FROM keydown")
+_register("epoch_ms_to_ts", 'SELECT event_id, "timestamp", ts FROM mouse '
+                            'UNION ALL SELECT event_id, "timestamp", ts FROM keydown')
+_register("floor_hour", "SELECT event_id, ts_hour FROM mouse UNION ALL SELECT event_id, ts_hour FROM keydown")
+_register("to_local_time", """
+SELECT altKey, ctrlKey, metaKey, shiftKey, "key", code,
+       epoch_ms("timestamp") + INTERVAL 9 HOUR AS "timestamp", "type", user_id, event_id,
+       ts + INTERVAL 9 HOUR AS ts, ts_hour + INTERVAL 9 HOUR AS ts_hour
+FROM keydown""")
+_register("nested_to_json_text", "SELECT event_id, shape FROM mouse")
+_register("event_kind_of_topic", """
+SELECT event_id,
+       CASE WHEN event_id % 10 < 7 THEN 'mouse_events' ELSE 'keydown_events' END AS topic,
+       CASE WHEN event_id % 10 < 7 THEN 'mouse' ELSE 'keydown' END AS kind
+FROM base""")
+_register("shape_summary", """
+SELECT m.event_id, m.shape_id AS shape_id, s.kind AS shape_type, s.label AS shape_label, s.color AS shape_color
+FROM mouse m LEFT JOIN shapes s ON s.id = m.shape_id""")
+_register("payload_bytes", """
+SELECT octet_length(to_json(struct_pack(
+  stream := 'keydown', "key" := "key", code := code, altKey := altKey, ctrlKey := ctrlKey,
+  shiftKey := shiftKey, metaKey := metaKey, "timestamp" := "timestamp", "type" := "type",
+  user_id := user_id, event_id := event_id))::VARCHAR::BLOB) AS n_bytes
+FROM keydown""")
+
+# K1 / K2
+_register("route_to_topic", """
+SELECT event_id, CASE WHEN event_id % 10 < 7 THEN 'mouse_events' ELSE 'keydown_events' END AS topic,
+       CAST(NULL AS VARCHAR) AS "key"
+FROM base""")
+_register("ack_records", """
+SELECT event_id, 'queued' AS status,
+       CASE WHEN event_id % 10 < 7 THEN 'mouse' ELSE 'keydown' END AS "type",
+       CASE WHEN event_id % 10 < 7 THEN 'mouse_events' ELSE 'keydown_events' END AS topic
+FROM base""")
+
+# J1 / J2 / F3
+_register("hit_test", "SELECT event_id, canvasX, canvasY, shape_id FROM mouse")
+_register("hit_test_first", "SELECT event_id, shape_id FROM mouse WHERE shape_id IS NOT NULL", order="first")
+_register("hits_only", """
+SELECT m.event_id, m.shape_id, s.kind AS shape_type
+FROM mouse m JOIN shapes s ON s.id = m.shape_id""")
+
+# A1 / A2
+_register("count_events", "SELECT count(*) AS n FROM mouse")
+_register("events_per_minute", """
 , c AS (
   SELECT date_trunc('minute', epoch_ms("timestamp") + INTERVAL 9 HOUR) AS minute, count(*) AS n
   FROM mouse GROUP BY 1),
 b AS (SELECT min(minute) AS lo, max(minute) AS hi FROM c)
 SELECT g.minute AS minute, CAST(coalesce(c.n, 0) AS BIGINT) AS n
 FROM b, generate_series(b.lo, b.hi, INTERVAL 1 MINUTE) AS g(minute)
-LEFT JOIN c ON c.minute = g.minute
-"""))
+LEFT JOIN c ON c.minute = g.minute""")
+
+# O1 / O2
+_register("newest_first", f"""
+SELECT {KEYDOWN_COLS}, user_id, event_id, ts, ts_hour FROM keydown
+ORDER BY "timestamp" DESC, event_id""")
+_register("newest_n", f"""
+SELECT {MOUSE_COLS}, user_id, event_id, ts, ts_hour FROM mouse
+ORDER BY "timestamp" DESC, event_id LIMIT 50""")
+
+# W5
+_register("active_shape", """
+, mk AS (
+  SELECT user_id, event_id, "timestamp", event_type, shape_id,
+         CASE WHEN event_type = 'mousedown' AND shape_id IS NOT NULL THEN shape_id
+              WHEN event_type = 'mouseup' AND shape_id IS NULL THEN '' END AS marker
+  FROM mouse),
+st AS (
+  SELECT *, last_value(marker IGNORE NULLS) OVER (
+           PARTITION BY user_id ORDER BY "timestamp", event_id
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS state
+  FROM mk)
+SELECT user_id, event_id, "timestamp", event_type, shape_id, NULLIF(state, '') AS active_shape FROM st""")

@@ -37,9 +37,18 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the cluster has
+    cores (one small file, one row group); a large scan is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The columns of ``events`` that payloads use (pruned at the scan)."""
-    return load_table(spark, sf_dir, "events").select(*EVENT_COLUMNS)
+    return spread(load_table(spark, sf_dir, "events").select(*EVENT_COLUMNS))
 
 
 def _pick(items: list[str], idx: Column) -> Column:
