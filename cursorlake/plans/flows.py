@@ -7,7 +7,7 @@ the streaming and table layers reuse.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cursorlake.functions.decode import decode_lenient
@@ -16,18 +16,31 @@ from cursorlake.functions.time import with_event_time, wallclock
 from cursorlake.operators.project import project
 from cursorlake.schemas import table_name
 from cursorlake.session import pin_zone
-from cursorlake.sources.events import EXTRA_FIELDS, is_mouse, load_events, payload_messages
+from cursorlake.sources.events import EXTRA_FIELDS, is_mouse, load_events, load_table, payload_messages
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(event_id, user_id, value): one JSON payload per given event."""
+def messages(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
+    """(event_id, user_id, value): one JSON payload per given event
+    (``where`` selects events, e.g. one delivery of a time-split stream)."""
     pin_zone(spark)
-    return payload_messages(load_events(spark, sf_dir))
+    events = load_events(spark, sf_dir)
+    if where is not None:
+        events = events.where(where)
+    return payload_messages(events)
+
+
+def routed(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
+    """K1 over the payloads: (event_id, user_id, topic, key, value)."""
+    return route_to_topic(messages(spark, sf_dir, where), keep=("event_id", "user_id"))
 
 
-def routed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K1 over all payloads: (event_id, user_id, topic, key, value)."""
-    return route_to_topic(messages(spark, sf_dir), keep=("event_id", "user_id"))
+def time_split(spark: SparkSession, sf_dir: str) -> tuple[Column, Column]:
+    """Predicates for the earlier and the later half of the events' time
+    span (two deliveries of one stream). Only min/max reach the driver."""
+    lo, hi = load_table(spark, sf_dir, "events").agg(F.min("ts"), F.max("ts")).first()
+    mid = lo + (hi - lo) / 2
+    ts = F.col("ts")
+    return ts < F.lit(mid), ts >= F.lit(mid)
 
 
 def topic_messages(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:

@@ -93,3 +93,27 @@ st AS (
            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS state
   FROM mk)
 SELECT user_id, event_id, "timestamp", event_type, shape_id, NULLIF(state, '') AS active_shape FROM st""")
+
+# S1 / K3 / K4 / W4 / K6 / W1 / W2
+_register("source_topic", "SELECT event_id FROM base WHERE event_id % 10 < 7")
+_register("ingest_mouse", f"SELECT {MOUSE_COLS}, user_id, event_id, ts, ts_hour FROM mouse")
+_register("ingest_keydown", f"SELECT {KEYDOWN_COLS}, user_id, event_id, ts, ts_hour FROM keydown")
+_register("multi_topic_ingest", """
+SELECT 'mouse_events' AS "table", count(*) AS n FROM mouse
+UNION ALL SELECT 'keydown_events' AS "table", count(*) AS n FROM keydown""")
+_register("partitioned_table", "SELECT ts_hour, count(*) AS n FROM mouse GROUP BY ts_hour")
+_register("event_time_watermark", 'SELECT event_id, "timestamp", ts, ts_hour FROM keydown')
+_register("checkpointed_ingest", 'SELECT event_id, user_id, "timestamp", ts FROM mouse')
+
+# S5 / S6 / S11
+_register("scan_table", f"SELECT {KEYDOWN_COLS}, user_id, event_id, ts, ts_hour FROM keydown")
+_register("scan_columns", 'SELECT "timestamp", ts FROM mouse')
+_register("list_tables", """
+SELECT "table" FROM (VALUES ('mouse_events'), ('keydown_events')) AS t("table")
+WHERE EXISTS (SELECT 1 FROM base)""")
+
+# K7 / K8 / K9 / K10
+_register("create_namespace", "SELECT 'keydown_events' AS \"table\", count(*) AS n FROM keydown")
+_register("create_if_absent", "SELECT 'mouse_events' AS \"table\", count(*) AS n FROM mouse")
+_register("recreate_table", "SELECT 'keydown_events' AS \"table\", count(*) AS n FROM keydown")
+_register("missing_table_skip", "SELECT 'mouse_events' AS \"table\", count(*) AS n FROM mouse")
