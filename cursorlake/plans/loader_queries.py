@@ -1 +1,43 @@
-"""Registered queries of the micro-batch loader path (filled in below)."""
+"""Registered queries of the micro-batch loader path."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from cursorlake.functions.coerce import coerce_defaults as _coerce
+from cursorlake.plans import flows
+from cursorlake.plans.lake_queries import drop_topics, new_lake
+from cursorlake.plans.registry import register
+from cursorlake.schemas import schema_for_kind
+from cursorlake.session import work_dir
+from cursorlake.sources.events import EXTRA_FIELDS
+from cursorlake.streaming.ingest import await_all
+from cursorlake.streaming.loader import load_topics, loaded_rows
+
+
+@register("coerce_defaults")
+def coerce_defaults(spark, sf_dir):
+    """Mouse messages with the loader's typed defaults (all loadable)."""
+    c = _coerce(flows.topic_messages(spark, sf_dir, "mouse"), "mouse", extra=EXTRA_FIELDS)
+    names = schema_for_kind("mouse", "loader", EXTRA_FIELDS).names
+    return c.select(*names, "status", F.size("reasons").alias("n_reasons"))
+
+
+@register("enforce_non_null")
+def enforce_non_null(spark, sf_dir):
+    """Keydown rows after the non-null pass."""
+    c = _coerce(flows.topic_messages(spark, sf_dir, "keydown"), "keydown", extra=EXTRA_FIELDS)
+    return loaded_rows(c, "keydown", EXTRA_FIELDS)
+
+
+@register("append_microbatch")
+def append_microbatch(spark, sf_dir):
+    """K5: the loader as a stream of small batches (2 files per trigger)
+    into the mouse loader table; read back without the batch column."""
+    lake = new_lake(spark)
+    lake.create_if_absent("mouse", "loader", EXTRA_FIELDS)
+    topics = work_dir(spark, "topics")
+    drop_topics(spark, sf_dir, topics)
+    await_all(load_topics(lake, ("mouse", "keydown"), topic_root=topics, extra=EXTRA_FIELDS,
+                          available_now=True, max_per_trigger=2))
+    return lake.read("mouse").drop("batch_id")

@@ -117,3 +117,15 @@ _register("create_namespace", "SELECT 'keydown_events' AS \"table\", count(*) AS
 _register("create_if_absent", "SELECT 'mouse_events' AS \"table\", count(*) AS n FROM mouse")
 _register("recreate_table", "SELECT 'keydown_events' AS \"table\", count(*) AS n FROM keydown")
 _register("missing_table_skip", "SELECT 'mouse_events' AS \"table\", count(*) AS n FROM mouse")
+
+# P6 / P7 / K5 (loader semantics: typed defaults, UTC wall-clock timestamp)
+_LOADER_MOUSE = """
+SELECT altKey, ctrlKey, metaKey, shiftKey, button, buttons, clientX, clientY, pageX, pageY,
+       screenX, screenY, epoch_ms("timestamp") AS "timestamp", event_type, '' AS canvasId,
+       canvasX, canvasY, movementX, movementY, isTrusted, coalesce(shape, '') AS shape,
+       user_id, event_id"""
+_register("coerce_defaults", _LOADER_MOUSE + ", 'ok' AS status, 0 AS n_reasons FROM mouse")
+_register("enforce_non_null", """
+SELECT altKey, ctrlKey, metaKey, shiftKey, "key", code, epoch_ms("timestamp") AS "timestamp", "type",
+       user_id, event_id FROM keydown""")
+_register("append_microbatch", _LOADER_MOUSE + " FROM mouse")

@@ -44,8 +44,18 @@ class Lakehouse:
         return self.spark.catalog.tableExists(f"{table_name(kind)}{suffix}", self.namespace)
 
     def _create(self, kind: str, family: str, extra, if_absent: bool, suffix: str) -> None:
-        schema = schema_for_kind(kind, family, extra)
-        part = "PARTITIONED BY (ts_hour)" if family == "sink" else ""
+        if family == "quarantine":
+            schema = T.StructType([T.StructField("value", T.StringType()),
+                                   T.StructField("reasons", T.ArrayType(T.StringType())),
+                                   T.StructField("batch_id", T.LongType())])
+        else:
+            schema = schema_for_kind(kind, family, extra)
+        if family in ("loader", "quarantine"):
+            if family == "loader":
+                schema = schema.add("batch_id", T.LongType())
+            part = "PARTITIONED BY (batch_id)"
+        else:
+            part = "PARTITIONED BY (ts_hour)"
         guard = "IF NOT EXISTS " if if_absent else ""
         self.spark.sql(f"CREATE TABLE {guard}{self.name(kind, suffix)} ({_ddl_columns(schema)}) "
                        f"USING parquet {part} OPTIONS ('compression' = 'zstd')")
