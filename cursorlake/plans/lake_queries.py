@@ -224,3 +224,25 @@ def missing_table_skip(spark, sf_dir):
     await_all(ingest_topics(lake, ("mouse", "keydown"), topic_root=topics, extra=EXTRA_FIELDS,
                             available_now=True, require_table=True))
     return _counts(lake, ("mouse", "keydown"))
+
+
+# --- W5 on a stream ------------------------------------------------------------------
+
+@register("active_shape_stream")
+def active_shape_stream(spark, sf_dir):
+    """W5 streaming: two deliveries in time order; the active shape per user
+    is carried across micro-batches in the state store."""
+    from cursorlake.functions.decode import decode_lenient
+    from cursorlake.streaming.active_shape import active_shape_stream as _stream
+    early, late = flows.time_split(spark, sf_dir)
+    topics, out = work_dir(spark, "topics"), work_dir(spark, "active")
+    for part in (early, late):
+        drop_topics(spark, sf_dir, topics, part)
+        src = read_topic(spark, "mouse_events", root=topics)
+        rows = decode_lenient(src, "mouse", extra=EXTRA_FIELDS).select(
+            "user_id", "event_id", "timestamp", "event_type",
+            F.get_json_object("shape", "$.id").alias("shape_id"))
+        q = (_stream(rows).writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", out + "/_cp").trigger(availableNow=True).start(out + "/data"))
+        await_all([q])
+    return spark.read.parquet(out + "/data")

@@ -129,3 +129,5 @@ _register("enforce_non_null", """
 SELECT altKey, ctrlKey, metaKey, shiftKey, "key", code, epoch_ms("timestamp") AS "timestamp", "type",
        user_id, event_id FROM keydown""")
 _register("append_microbatch", _LOADER_MOUSE + " FROM mouse")
+
+ORACLE["active_shape_stream"] = ORACLE["active_shape"]
