@@ -41,7 +41,7 @@ class Lakehouse:
 
     def exists(self, kind: str, suffix: str = "") -> bool:
         """K10's check: is the table there?"""
-        return self.spark.catalog.tableExists(f"{table_name(kind)}{suffix}", self.namespace)
+        return self.spark.catalog.tableExists(f"{self.namespace}.{table_name(kind)}{suffix}")
 
     def _create(self, kind: str, family: str, extra, if_absent: bool, suffix: str) -> None:
         if family == "quarantine":
