@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from cursorlake.functions.decode import _path, field_text, is_object, parsed
 from cursorlake.schemas import schema_for_kind
+from cursorlake.session import cached_columns
 
 # Python's int()/float() text grammar (ASCII form), whitespace set.
 PY_INT_TEXT = r"^[+-]?[0-9]+(_[0-9]+)*$"
@@ -134,22 +135,28 @@ def coerce_defaults(df: DataFrame, kind: str, value: str = "value", extra=None,
     read those columns (a deep tree per field would be copied into every
     branch of the rules).
     """
-    schema = schema_for_kind(kind, "loader", extra)
     raw = F.col(value)
-    fields = list(enumerate(schema.fields))
+    nodes, texts, cols, reasons = _coerce_columns(kind, value, tuple(extra or ()))
     staged = (df.select(*keep, raw.alias(value), parsed(raw).alias("__v"))
-                .select("*", *[F.try_variant_get("__v", _path(f.name), "variant").alias(f"__n{i}")
-                               for i, f in fields])
-                .select("*", *[F.to_json(f"__n{i}").alias(f"__j{i}") for i, _ in fields]))
+                .select("*", *nodes).select("*", *texts))
+    return (staged.select(*keep, raw.alias(value), *cols, reasons.alias("reasons"))
+                  .withColumn("status", F.when(F.size("reasons") > 0, "quarantine").otherwise("ok")))
+
+
+@cached_columns
+def _coerce_columns(kind: str, value: str, extra: tuple):
+    schema = schema_for_kind(kind, "loader", list(extra))
+    raw = F.col(value)
+    fields = list(enumerate(schema.fields))
+    nodes = [F.try_variant_get("__v", _path(f.name), "variant").alias(f"__n{i}") for i, f in fields]
+    texts = [F.to_json(f"__n{i}").alias(f"__j{i}") for i, _ in fields]
     cols, errors = [], [message_errors(F.col("__v"), raw)]
     for i, f in fields:
         val, err = coerce_field(F.col(f"__n{i}"), F.col(f"__j{i}"), raw, f.name, f.dataType)
         cols.append(val.alias(f.name))
         if err is not None:
             errors.append(err)
-    reasons = F.array_compact(F.array(*errors))
-    return (staged.select(*keep, raw.alias(value), *cols, reasons.alias("reasons"))
-                  .withColumn("status", F.when(F.size("reasons") > 0, "quarantine").otherwise("ok")))
+    return nodes, texts, cols, F.array_compact(F.array(*errors))
 
 
 def split_status(coerced: DataFrame, status: str, columns: list[str]) -> DataFrame:

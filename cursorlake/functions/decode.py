@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cursorlake.schemas import schema_for_kind
+from cursorlake.session import cached_columns
 
 
 def _path(name: str) -> str:
@@ -71,14 +72,19 @@ def decode_lenient(df: DataFrame, kind: str, value: str = "value",
     Unknown fields are dropped by the projection (P1/P2); ``extra`` names
     additional payload fields to keep, ``keep`` passes input columns through.
     """
-    schema = schema_for_kind(kind, "payload", extra)
-    v = F.col("__v")
     raw = F.col(value)
-    fields = [field(v, raw, f.name, f.dataType).alias(f.name) for f in schema.fields]
     # One parse per message, in one projection; the 0-or-1-row generator
     # drops non-objects (a filter would be pushed below and parse again).
     return (df.select(*keep, raw.alias(value), parsed(raw).alias("__v"))
-              .select(*keep, F.inline(F.when(is_object(v, raw), F.array(F.struct(*fields))))))
+              .select(*keep, _decoded_rows(kind, value, tuple(extra or ()))))
+
+
+@cached_columns
+def _decoded_rows(kind: str, value: str, extra: tuple) -> Column:
+    schema = schema_for_kind(kind, "payload", list(extra))
+    v, raw = F.col("__v"), F.col(value)
+    fields = [field(v, raw, f.name, f.dataType).alias(f.name) for f in schema.fields]
+    return F.inline(F.when(is_object(v, raw), F.array(F.struct(*fields))))
 
 
 def decode_strict(df: DataFrame, kind: str, value: str = "value",

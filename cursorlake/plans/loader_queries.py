@@ -41,3 +41,12 @@ def append_microbatch(spark, sf_dir):
     await_all(load_topics(lake, ("mouse", "keydown"), topic_root=topics, extra=EXTRA_FIELDS,
                           available_now=True, max_per_trigger=2))
     return lake.read("mouse").drop("batch_id")
+
+
+@register("validate_payload")
+def validate_payload(spark, sf_dir):
+    """The declared payload rules over every keydown message."""
+    from cursorlake.functions.validate import validate_payload as _validate
+    v = _validate(flows.topic_messages(spark, sf_dir, "keydown"), "keydown")
+    return v.select("altKey", "ctrlKey", "metaKey", "shiftKey", "timestamp", "type", "key", "code",
+                    "event_type", "status", F.size("reasons").alias("n_reasons"))

@@ -131,3 +131,8 @@ SELECT altKey, ctrlKey, metaKey, shiftKey, "key", code, epoch_ms("timestamp") AS
 _register("append_microbatch", _LOADER_MOUSE + " FROM mouse")
 
 ORACLE["active_shape_stream"] = ORACLE["active_shape"]
+
+# P13
+_register("validate_payload", """
+SELECT altKey, ctrlKey, metaKey, shiftKey, "timestamp", "type", "key", code,
+       'keydown' AS event_type, 'valid' AS status, 0 AS n_reasons FROM keydown""")

@@ -8,6 +8,7 @@ another one. Only when the setting is absent (local tests) do we create one.
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -65,3 +66,23 @@ def shared_root(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared root, unique per call."""
     return f"{shared_root(spark)}/cursorlake/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cached_columns(fn):
+    """Memoize a builder of unresolved Column expressions.
+
+    Built expressions are plain trees in the JVM, reusable by any DataFrame;
+    building them again costs one py4j round trip per node (thousands for
+    the decode and coercion rules). Keyed by the gateway and the (hashable)
+    arguments.
+    """
+    cache: dict = {}
+
+    @functools.wraps(fn)
+    def wrapper(*args):
+        from pyspark import SparkContext
+        key = (id(SparkContext._gateway), args)
+        if key not in cache:
+            cache[key] = fn(*args)
+        return cache[key]
+    return wrapper

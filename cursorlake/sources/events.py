@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cursorlake.functions.payload import payload_json
+from cursorlake.session import cached_columns
 from cursorlake.functions.shapes import TEST_SHAPES
 from cursorlake.operators.hit_test import hit_shape
 from cursorlake.functions.payload import shape_summary
@@ -121,9 +122,14 @@ def keydown_payloads(events: DataFrame) -> DataFrame:
                                                uid.alias("user_id"), eid.alias("event_id"))
 
 
-def payload_messages(events: DataFrame, shapes=TEST_SHAPES) -> DataFrame:
-    """One JSON message per event: (event_id, user_id, value)."""
+@cached_columns
+def _message_value(shapes: tuple) -> Column:
     eid, uid, ts = F.col("event_id"), F.col("user_id"), F.col("ts")
     mouse = payload_json(_struct(mouse_columns(eid, ts, shapes), eid, uid))
     key = payload_json(_struct(keydown_columns(eid, ts), eid, uid))
-    return events.select(eid, uid, F.when(is_mouse(eid), mouse).otherwise(key).alias("value"))
+    return F.when(is_mouse(eid), mouse).otherwise(key).alias("value")
+
+
+def payload_messages(events: DataFrame, shapes=TEST_SHAPES) -> DataFrame:
+    """One JSON message per event: (event_id, user_id, value)."""
+    return events.select("event_id", "user_id", _message_value(tuple(shapes)))
