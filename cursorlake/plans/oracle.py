@@ -74,6 +74,8 @@ mouse AS (
     CASE WHEN h.id IS NULL THEN NULL ELSE
       to_json(struct_pack(id := h.id, type := h.kind, label := h.label, color := h.color))::VARCHAR END AS shape,
     h.id AS shape_id,
+    CASE WHEN h.id IS NULL THEN NULL ELSE
+      struct_pack(id := h.id, type := h.kind, label := h.label, color := h.color) END AS shape_obj,
     m.event_type,
     (m.event_id % 97 < 10) AS altKey, (m.event_id % 89 < 9) AS ctrlKey,
     (m.event_id % 79 < 8) AS metaKey, (m.event_id % 83 < 8) AS shiftKey,

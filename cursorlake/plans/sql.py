@@ -136,3 +136,19 @@ ORACLE["active_shape_stream"] = ORACLE["active_shape"]
 _register("validate_payload", """
 SELECT altKey, ctrlKey, metaKey, shiftKey, "timestamp", "type", "key", code,
        'keydown' AS event_type, 'valid' AS status, 0 AS n_reasons FROM keydown""")
+
+# The same compact JSON text (field order as the page sends it)
+_register("payload_json", """
+SELECT event_id, to_json(struct_pack(
+  shape := shape_obj, stream := 'mouse', event_type := event_type, canvasX := canvasX, canvasY := canvasY,
+  clientX := clientX, clientY := clientY, pageX := pageX, pageY := pageY, screenX := screenX,
+  screenY := screenY, movementX := movementX, movementY := movementY, button := button,
+  buttons := buttons, ctrlKey := ctrlKey, altKey := altKey, shiftKey := shiftKey, metaKey := metaKey,
+  "timestamp" := "timestamp", isTrusted := isTrusted, user_id := user_id, event_id := event_id))::VARCHAR AS value
+FROM mouse
+UNION ALL
+SELECT event_id, to_json(struct_pack(
+  stream := 'keydown', "key" := "key", code := code, altKey := altKey, ctrlKey := ctrlKey,
+  shiftKey := shiftKey, metaKey := metaKey, "timestamp" := "timestamp", "type" := "type",
+  user_id := user_id, event_id := event_id))::VARCHAR AS value
+FROM keydown""")

@@ -8,7 +8,7 @@ from tests.conftest import SF_SMALL
 
 BATCH = ["decode_lenient", "decode_strict", "drop_unparsable", "project_mouse", "project_keydown",
          "epoch_ms_to_ts", "floor_hour", "to_local_time", "nested_to_json_text", "event_kind_of_topic",
-         "shape_summary", "payload_bytes", "route_to_topic", "ack_records", "hit_test", "hit_test_first",
+         "shape_summary", "payload_json", "payload_bytes", "route_to_topic", "ack_records", "hit_test", "hit_test_first",
          "hits_only", "count_events", "events_per_minute", "newest_first", "newest_n", "active_shape",
          "coerce_defaults", "enforce_non_null"]
 WRITES = ["ingest_mouse", "event_time_watermark", "checkpointed_ingest", "append_microbatch",
@@ -25,7 +25,7 @@ def test_every_query_has_oracle_or_is_rows_only():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     rows_only = set(q) - set(o)
-    assert rows_only <= {"payload_json", "sample_rows", "table_files", "latest_file",
+    assert rows_only <= {"sample_rows", "table_files", "latest_file",
                          "file_name_filter", "scan_parquet_file"}
 
 
