@@ -62,19 +62,22 @@ def _as_bool(x: _Value) -> Column:
 
 
 def _as_int(x: _Value, sql_type: str) -> tuple[Column, Column]:
-    """(value, error) for an int32 / int64 column."""
-    dec = "decimal(38,0)"
+    """(value, error) for an int32 / int64 column, in bigint arithmetic: a
+    value beyond bigint (text or JSON number) is an overflow for both."""
     s = x.stripped()
-    from_text = F.when(s.rlike(PY_INT_TEXT), F.replace(s, F.lit("_"), F.lit("")).try_cast(dec))
-    d = x.double.cast("decimal(38,10)")
-    truncated = F.when(d >= 0, F.floor(d)).otherwise(F.ceil(d)).cast(dec)
-    num = (F.when(x.none | x.container, F.lit(0).cast(dec))
-            .when(x.boolean, F.when(x.js == "true", 1).otherwise(0).cast(dec))
-            .when(x.text, F.coalesce(from_text, F.lit(0).cast(dec)))
-            .when(x.integer, F.try_variant_get(x.node, "$", dec))
-            .otherwise(truncated))
+    text_ok = s.rlike(PY_INT_TEXT)
+    from_text = F.replace(s, F.lit("_"), F.lit("")).try_cast("bigint")
+    d = x.double
+    in_long = F.abs(d) < F.lit(9.2e18)
+    truncated = F.when(d >= 0, F.floor(d)).otherwise(F.ceil(d)).cast("bigint")
+    from_int = F.try_variant_get(x.node, "$", "bigint")
+    num = (F.when(x.none | x.container, F.lit(0).cast("bigint"))
+            .when(x.boolean, F.when(x.js == "true", 1).otherwise(0).cast("bigint"))
+            .when(x.text, F.when(text_ok, from_text).otherwise(F.lit(0).cast("bigint")))
+            .when(x.integer, from_int)
+            .otherwise(F.when(in_long, truncated)))
     lo, hi = INT_RANGE[sql_type]
-    ok = num.isNotNull() & (num >= F.lit(lo).cast(dec)) & (num <= F.lit(hi).cast(dec))
+    ok = num.isNotNull() & (num >= F.lit(lo)) & (num <= F.lit(hi))
     error = F.when(~ok, F.lit(f"{x.name}: integer out of {sql_type} range"))
     return F.when(ok, num.cast(sql_type)), error
 
