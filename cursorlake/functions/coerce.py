@@ -61,9 +61,9 @@ def _as_bool(x: _Value) -> Column:
              .otherwise(x.double != 0))
 
 
-def _as_int(x: _Value, sql_type: str) -> tuple[Column, Column]:
-    """(value, error) for an int32 / int64 column, in bigint arithmetic: a
-    value beyond bigint (text or JSON number) is an overflow for both."""
+def _as_int(x: _Value) -> Column:
+    """The integer (bigint) Python's int() gives, NULL when it does not fit
+    a bigint (an overflow for int32 and int64 columns alike)."""
     s = x.stripped()
     text_ok = s.rlike(PY_INT_TEXT)
     from_text = F.replace(s, F.lit("_"), F.lit("")).try_cast("bigint")
@@ -76,9 +76,13 @@ def _as_int(x: _Value, sql_type: str) -> tuple[Column, Column]:
             .when(x.text, F.when(text_ok, from_text).otherwise(F.lit(0).cast("bigint")))
             .when(x.integer, from_int)
             .otherwise(F.when(in_long, truncated)))
+    return num
+
+
+def _int_result(num: Column, name: str, sql_type: str) -> tuple[Column, Column]:
     lo, hi = INT_RANGE[sql_type]
     ok = num.isNotNull() & (num >= F.lit(lo)) & (num <= F.lit(hi))
-    error = F.when(~ok, F.lit(f"{x.name}: integer out of {sql_type} range"))
+    error = F.when(~ok, F.lit(f"{name}: integer out of {sql_type} range"))
     return F.when(ok, num.cast(sql_type)), error
 
 
@@ -111,11 +115,8 @@ def coerce_field(node: Column, js: Column, raw: Column, name: str,
     x = _Value(node, js, raw, name)
     if isinstance(dtype, T.BooleanType):
         return _as_bool(x), None
-    if isinstance(dtype, (T.IntegerType, T.LongType)):
-        return _as_int(x, dtype.simpleString())
-    if isinstance(dtype, T.TimestampNTZType):
-        ms, err = _as_int(x, "bigint")
-        return F.timestamp_millis(ms).cast("timestamp_ntz"), err
+    if isinstance(dtype, (T.IntegerType, T.LongType, T.TimestampNTZType)):
+        return _as_int(x), None
     if isinstance(dtype, T.DoubleType):
         return _as_float(x), None
     return _as_text(x)
@@ -139,9 +140,9 @@ def coerce_defaults(df: DataFrame, kind: str, value: str = "value", extra=None,
     branch of the rules).
     """
     raw = F.col(value)
-    nodes, texts, cols, reasons = _coerce_columns(kind, value, tuple(extra or ()))
+    nodes, texts, ints, cols, reasons = _coerce_columns(kind, value, tuple(extra or ()))
     staged = (df.select(*keep, raw.alias(value), parsed(raw).alias("__v"))
-                .select("*", *nodes).select("*", *texts))
+                .select("*", *nodes).select("*", *texts).select("*", *ints))
     return (staged.select(*keep, raw.alias(value), *cols, reasons.alias("reasons"))
                   .withColumn("status", F.when(F.size("reasons") > 0, "quarantine").otherwise("ok")))
 
@@ -153,13 +154,20 @@ def _coerce_columns(kind: str, value: str, extra: tuple):
     fields = list(enumerate(schema.fields))
     nodes = [F.try_variant_get("__v", _path(f.name), "variant").alias(f"__n{i}") for i, f in fields]
     texts = [F.to_json(f"__n{i}").alias(f"__j{i}") for i, _ in fields]
-    cols, errors = [], [message_errors(F.col("__v"), raw)]
+    cols, ints, errors = [], [], [message_errors(F.col("__v"), raw)]
     for i, f in fields:
         val, err = coerce_field(F.col(f"__n{i}"), F.col(f"__j{i}"), raw, f.name, f.dataType)
+        if isinstance(f.dataType, (T.IntegerType, T.LongType, T.TimestampNTZType)):
+            # integers get their own stage: the rule is large, the range check small
+            ints.append(val.alias(f"__i{i}"))
+            sql_type = "int" if isinstance(f.dataType, T.IntegerType) else "bigint"
+            val, err = _int_result(F.col(f"__i{i}"), f.name, sql_type)
+            if isinstance(f.dataType, T.TimestampNTZType):
+                val = F.timestamp_millis(val).cast("timestamp_ntz")
         cols.append(val.alias(f.name))
         if err is not None:
             errors.append(err)
-    return nodes, texts, cols, F.array_compact(F.array(*errors))
+    return nodes, texts, ints, cols, F.array_compact(F.array(*errors))
 
 
 def split_status(coerced: DataFrame, status: str, columns: list[str]) -> DataFrame:
