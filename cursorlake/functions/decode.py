@@ -66,24 +66,28 @@ def field(variant: Column, value: Column, name: str, dtype: T.DataType) -> Colum
 
 def decode_lenient(df: DataFrame, kind: str, value: str = "value",
                    extra: list[tuple[str, T.DataType]] | None = None,
-                   keep: tuple[str, ...] = ()) -> DataFrame:
+                   keep: tuple[str, ...] = (), columns: tuple[str, ...] | None = None) -> DataFrame:
     """S3: decode JSON messages of ``kind`` to the payload schema.
 
     Unknown fields are dropped by the projection (P1/P2); ``extra`` names
     additional payload fields to keep, ``keep`` passes input columns through.
+    ``columns`` decodes only those fields (a narrow query reads only what it
+    uses; the generator below hides unused fields from column pruning).
     """
     raw = F.col(value)
     # One parse per message, in one projection; the 0-or-1-row generator
     # drops non-objects (a filter would be pushed below and parse again).
+    cols = tuple(columns) if columns is not None else None
     return (df.select(*keep, raw.alias(value), parsed(raw).alias("__v"))
-              .select(*keep, _decoded_rows(kind, value, tuple(extra or ()))))
+              .select(*keep, _decoded_rows(kind, value, tuple(extra or ()), cols)))
 
 
 @cached_columns
-def _decoded_rows(kind: str, value: str, extra: tuple) -> Column:
+def _decoded_rows(kind: str, value: str, extra: tuple, columns: tuple | None) -> Column:
     schema = schema_for_kind(kind, "payload", list(extra))
     v, raw = F.col("__v"), F.col(value)
-    fields = [field(v, raw, f.name, f.dataType).alias(f.name) for f in schema.fields]
+    chosen = [f for f in schema.fields if columns is None or f.name in columns]
+    fields = [field(v, raw, f.name, f.dataType).alias(f.name) for f in chosen]
     return F.inline(F.when(is_object(v, raw), F.array(F.struct(*fields))))
 
 

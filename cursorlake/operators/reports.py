@@ -43,9 +43,17 @@ def events_per_minute(df: DataFrame, time_col: str = "timestamp",
     join sides grow with the time span, not with the event count; the
     counts are reused from step (1) (one exchange, reused).
     """
+    # rows without a time have no bin; the explicit filter also keeps both
+    # uses of ``counts`` identical (the join would infer it on one side
+    # only), so their exchange is computed once and reused
     counts = (df.select(minute_bucket(_instant(df, time_col), zone).alias("minute"))
+                .where(F.col("minute").isNotNull())
                 .groupBy("minute").agg(F.count(F.lit(1)).alias("n")))
-    bounds = counts.agg(F.min("minute").alias("lo"), F.max("minute").alias("hi"))
+    # min/max over the counts, written so that they read ``n``: min/max of a
+    # grouping key would otherwise be rewritten to run over the raw rows,
+    # computing the whole input a second time instead of reusing the counts.
+    present = F.when(F.col("n") > 0, F.col("minute"))
+    bounds = counts.agg(F.min(present).alias("lo"), F.max(present).alias("hi"))
     day = F.col("day")
     days = bounds.where(F.col("lo").isNotNull()).select(
         "lo", "hi",

@@ -58,10 +58,13 @@ def topic_messages(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     return payload_messages(events.where(part)).select("value")
 
 
-def decoded(spark: SparkSession, sf_dir: str, kind: str, event_time: bool = True) -> DataFrame:
-    """Decoded rows of one kind with the extra key columns (user_id, event_id)."""
-    rows = decode_lenient(topic_messages(spark, sf_dir, kind), kind, extra=EXTRA_FIELDS)
-    rows = project(rows, kind, "payload", EXTRA_FIELDS)
+def decoded(spark: SparkSession, sf_dir: str, kind: str, event_time: bool = True,
+            columns: tuple[str, ...] | None = None) -> DataFrame:
+    """Decoded rows of one kind with the extra key columns (user_id, event_id);
+    ``columns`` limits decoding to the fields a query reads."""
+    rows = decode_lenient(topic_messages(spark, sf_dir, kind), kind, extra=EXTRA_FIELDS, columns=columns)
+    if columns is None:
+        rows = project(rows, kind, "payload", EXTRA_FIELDS)
     return with_event_time(rows) if event_time else rows
 
 

@@ -152,9 +152,11 @@ def ack_records(spark, sf_dir):
 
 # --- J1 / J2 / F3: hit testing -------------------------------------------------
 
+POINTER = ("event_id", "user_id", "event_type", "timestamp", "canvasX", "canvasY")
+
+
 def _pointer(spark, sf_dir):
-    return flows.decoded(spark, sf_dir, "mouse", event_time=False).select(
-        "event_id", "user_id", "event_type", "timestamp", "canvasX", "canvasY")
+    return flows.decoded(spark, sf_dir, "mouse", event_time=False, columns=POINTER)
 
 
 @register("hit_test")
@@ -183,13 +185,13 @@ def hits_only_q(spark, sf_dir):
 @register("count_events")
 def count_events(spark, sf_dir):
     """A1: COUNT(*) of the mouse stream."""
-    return reports.count_events(_mouse(spark, sf_dir))
+    return reports.count_events(flows.decoded(spark, sf_dir, "mouse", False, columns=("timestamp",)))
 
 
 @register("events_per_minute")
 def events_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2 over the decoded mouse stream, in local (Asia/Seoul) minutes."""
-    return reports.events_per_minute(_mouse(spark, sf_dir))
+    return reports.events_per_minute(flows.decoded(spark, sf_dir, "mouse", False, columns=("timestamp",)))
 
 
 # --- O1 / O2 / O3: sorts and limits -------------------------------------------
@@ -217,6 +219,7 @@ def sample_rows(spark, sf_dir):
 @register("active_shape")
 def active_shape(spark, sf_dir):
     """The active (dragged) shape per user after every mouse event."""
-    m = _mouse(spark, sf_dir).select("user_id", "event_id", "timestamp", "event_type",
-                                     F.get_json_object("shape", "$.id").alias("shape_id"))
+    m = flows.decoded(spark, sf_dir, "mouse", False,
+                      columns=("user_id", "event_id", "timestamp", "event_type", "shape")).select(
+        "user_id", "event_id", "timestamp", "event_type", F.get_json_object("shape", "$.id").alias("shape_id"))
     return _active_shape(m)
