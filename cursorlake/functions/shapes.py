@@ -7,6 +7,7 @@ no shuffle and no event key, and it runs unchanged on streams.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -113,10 +114,32 @@ def shape_struct(s: Shape) -> Column:
 
 
 def bounding_box(s: Shape) -> tuple[float, float, float, float]:
-    """(xmin, ymin, xmax, ymax) including the triangle tolerance band."""
+    """(xmin, ymin, xmax, ymax) of every point the shape's test accepts.
+
+    For a triangle the area-sum test with tolerance t accepts points up to
+    t / |edge| outside each edge line (the excess equals twice the summed
+    negative sub-areas), so the box is that of the triangle whose edges are
+    moved out by those amounts. A zero-area triangle accepts its whole line
+    and has no box.
+    """
     if s.kind == "rect":
         return s.a, s.b, s.a + s.c, s.b + s.d
     if s.kind == "circle":
         return s.a - s.c, s.b - s.c, s.a + s.c, s.b + s.c
-    xs, ys = (s.a, s.c, s.e), (s.b, s.d, s.f)
-    return min(xs) - 1, min(ys) - 1, max(xs) + 1, max(ys) + 1
+    pts = [(s.a, s.b), (s.c, s.d), (s.e, s.f)]
+    area2 = (pts[1][0] - pts[0][0]) * (pts[2][1] - pts[0][1]) - (pts[2][0] - pts[0][0]) * (pts[1][1] - pts[0][1])
+    if area2 == 0:
+        raise ValueError(f"triangle {s.id} has zero area; its hit region is unbounded")
+    if area2 < 0:
+        pts.reverse()
+    lines = []
+    for (x1, y1), (x2, y2) in zip(pts, pts[1:] + pts[:1]):
+        length = math.hypot(x2 - x1, y2 - y1)
+        nx, ny = (y2 - y1) / length, -(x2 - x1) / length   # outward for counter-clockwise order
+        lines.append((nx, ny, nx * x1 + ny * y1 + TRIANGLE_TOLERANCE / length))
+    corners = []
+    for (a1, b1, c1), (a2, b2, c2) in zip(lines, lines[1:] + lines[:1]):
+        det = a1 * b2 - a2 * b1
+        corners.append(((c1 * b2 - c2 * b1) / det, (a1 * c2 - a2 * c1) / det))
+    xs, ys = [p[0] for p in corners], [p[1] for p in corners]
+    return min(xs), min(ys), max(xs), max(ys)

@@ -78,15 +78,20 @@ def hit_test_first(df: DataFrame, shapes, x: str = "canvasX", y: str = "canvasY"
 # --- grid form, for shape sets too large to inline -------------------------
 
 def shapes_frame(spark: SparkSession, shapes) -> DataFrame:
+    """Shapes as a DataFrame, with the exact box of each shape's hit region."""
     rows = [(s.id, s.kind, int(s.z), *[None if v is None else float(v) for v in
-             (s.a, s.b, s.c, s.d, s.e, s.f)], s.label, s.color) for s in shapes]
+             (s.a, s.b, s.c, s.d, s.e, s.f)], s.label, s.color, *map(float, bounding_box(s)))
+            for s in shapes]
     return spark.createDataFrame(rows, "id string, kind string, z int, a double, b double, "
                                        "c double, d double, e double, f double, "
-                                       "label string, color string")
+                                       "label string, color string, "
+                                       "xmin double, ymin double, xmax double, ymax double")
 
 
 def _bbox_columns() -> list[Column]:
-    """Bounding box of a shape row, with the triangle's tolerance band."""
+    """Bounding box of a shape row given without one: the triangle's
+    tolerance band bounded by 1 + 0.5 / shortest edge (exact boxes come from
+    ``shapes_frame``)."""
     a, b, c, d, e, f = (F.col(n) for n in "abcdef")
     tri_pad = F.lit(1.0) + F.lit(0.5) / F.greatest(
         F.least(F.hypot(c - a, d - b), F.hypot(e - c, f - d), F.hypot(a - e, b - f)), F.lit(1e-6))
@@ -111,7 +116,8 @@ def hit_test_grid(df: DataFrame, shapes: DataFrame, x: str = "canvasX", y: str =
     per cell). Events look up their cell with a left equi-join and run the
     same point-in-shape filter on that cell's shapes.
     """
-    cells = (shapes.select("*", *_bbox_columns())
+    boxed = shapes if "xmin" in shapes.columns else shapes.select("*", *_bbox_columns())
+    cells = (boxed
              .select("*", F.explode(F.sequence(F.floor(F.col("xmin") / cell).cast("long"),
                                                F.floor(F.col("xmax") / cell).cast("long"))).alias("gx"))
              .select("*", F.explode(F.sequence(F.floor(F.col("ymin") / cell).cast("long"),

@@ -47,3 +47,20 @@ def test_no_exchange(spark):
     df = _points(spark, [(1, 1)])
     plan = hit_test(df, TEST_SHAPES)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_triangle_box_contains_tolerance_band(spark):
+    """Points just outside the triangle that still hit lie inside its box."""
+    from cursorlake.functions.shapes import Shape, bounding_box
+    tri = Shape("t", "triangle", 1, 0, 0, 40, 1, 0, 2)   # thin: long edges, sharp corner
+    x0, y0, x1, y1 = bounding_box(tri)
+    w, h = x1 - x0, y1 - y0
+    pts = [(x0 - w / 2 + 2 * w * i / 80, y0 - h / 2 + 2 * h * j / 80) for i in range(81) for j in range(81)]
+    df = _points(spark, pts)
+    hits = hit_test(df, [tri]).where("shape IS NOT NULL").select("canvasX", "canvasY").collect()
+    assert len(hits) > 100
+    assert all(x0 <= r.canvasX <= x1 and y0 <= r.canvasY <= y1 for r in hits)
+    # the band beyond the sharp apex (40, 1): hit up to x ~ 40.25, inside the box
+    apex = {r.i: r.hit for r in hit_test(_points(spark, [(40.2, 1.0), (40.3, 1.0)]), [tri])
+            .select("i", F.col("shape.id").alias("hit")).collect()}
+    assert apex == {0: "t", 1: None} and x1 >= 40.2
