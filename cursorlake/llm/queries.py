@@ -30,3 +30,10 @@ def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import token_ids
     documents, _ = token_ids.token_files(table(spark, sf_dir, "documents"), tokenizer_path(), END_ID)
     return token_ids.digests(documents)
+
+
+@query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import warc
+    index, folder = warc.write(table(spark, sf_dir, "pages"), min_bytes=0)
+    return warc.read(index, folder).drop("url")
