@@ -3,7 +3,7 @@ parameters, and the SQL where SQL can say the same."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import table
 
@@ -37,3 +37,21 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import warc
     index, folder = warc.write(table(spark, sf_dir, "pages"), min_bytes=0)
     return warc.read(index, folder).drop("url")
+
+
+@query
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import topk
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
+ORACLE["op9_top_k"] = """
+WITH v AS (SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
+           FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
