@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import table
+from .common import held_out, table
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -55,3 +55,11 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
+
+
+@query
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import quality
+    rows = quality.feature_rows(table(spark, sf_dir, "documents"))
+    model = quality.fit(rows, table(spark, sf_dir, "labels"), ~held_out("doc_id", 5))
+    return quality.scored(rows, model).select("doc_id", held_out("doc_id", 5).alias("held_out"), "score", "predicted")
