@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -57,6 +57,16 @@ def frames(columns: dict[str, Iterable]) -> Iterator[pd.DataFrame]:
         yield out
 
 
+def per_worker(kind: str, key: object, make: Callable[[], object]) -> object:
+    """An object that all tasks of a Python worker process share: the last one
+    of its kind, made anew when ``key`` changes."""
+    import pyspark
+    kept = pyspark.__dict__.setdefault("_kept_by_worker", {})
+    if kind not in kept or kept[kind][0] != key:
+        kept[kind] = (key, make())
+    return kept[kind][1]
+
+
 def held_out(id_col: str, modulus: int) -> Column:
     """crc32 of the id's decimal text leaves remainder 0 (a null id: as '')."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % modulus == 0

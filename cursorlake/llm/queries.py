@@ -63,3 +63,9 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.feature_rows(table(spark, sf_dir, "documents"))
     model = quality.fit(rows, table(spark, sf_dir, "labels"), ~held_out("doc_id", 5))
     return quality.scored(rows, model).select("doc_id", held_out("doc_id", 5).alias("held_out"), "score", "predicted")
+
+
+@query
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import decontaminate
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

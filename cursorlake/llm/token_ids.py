@@ -17,14 +17,14 @@ from __future__ import annotations
 import os
 import struct
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import frames, staged, text_batches, work_dir
+from .common import frames, per_worker, staged, text_batches, work_dir
 from .files import AtomicFile, store
 
 HEAD = "<4sIQQ"
@@ -62,27 +62,52 @@ def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
 class WordEncoder:
     """Encodes whole texts word by word, remembering frequent words.
 
-    Valid for tokenizers whose pieces never span a space or a line break (their
-    pre-tokenizer drops white space); texts with a long unbroken run are
-    encoded by the tokenizer directly for that run.
+    Valid for tokenizers that lower-case, drop white space, part letters from
+    everything else and mark the last piece of a word, as word_bpe_49k does: then
+    no piece spans a space or line break, an ASCII word has the ids of its lower
+    case, and a full stop or comma after a letter is a word of its own.
     """
 
     def __init__(self, path: str, dtype: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tokenizer, self.dtype, self.known = Tokenizer.from_file(path), dtype, {"": b""}
+        self.tokenizer, self.dtype = Tokenizer.from_file(path), dtype
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+        self.known: dict[str, bytes] = {"": b""}
+        self.learn([".", ","])
+
+    def learn(self, words: list[str]) -> None:
+        """Ids of new words: runs of plain words in one call, split again at
+        the pieces that end a word, the others one by one."""
+        plain = [w for w in words if w.isalpha() and len(w) <= CACHED_CHARS]
+        for at in range(0, len(plain), 4096):
+            part = plain[at: at + 4096]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, self.dtype)
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) == len(part):
+                raw, stops = ids.tobytes(), stops * ids.itemsize
+                self.known.update(zip(part, map(raw.__getitem__, map(slice, [0, *stops[:-1].tolist()], stops.tolist()))))
+        other = [w for w in words if w not in self.known]
+        found = self.tokenizer.encode_batch_fast(other, add_special_tokens=False)
+        self.known.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(other, found))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         words = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > CACHED_WORDS:
-            self.known = {"": b""}
-        new = list(set(chain.from_iterable(words)).difference(self.known))
-        found = self.tokenizer.encode_batch(new, add_special_tokens=False)
-        self.known.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(new, found))
-        out = [b"".join(map(self.known.__getitem__, w)) for w in words]
+        known = self.known
+        if len(known) > CACHED_WORDS:  # the first ones seen are the frequent ones
+            known = self.known = dict(islice(known.items(), CACHED_WORDS // 2))
+        new = list(set(chain.from_iterable(words)).difference(known))
+        core = {w: w[:-1] if w[-1] in ".," and len(c := w[-2:-1].lower()) == 1 and c.isalpha() else w for w in new}
+        core = {w: c.lower() if c.isascii() else c for w, c in core.items()}
+        self.learn(list(set(core.values()).difference(known)))
+        known.update((w, known[c] + (known[w[-1]] if len(c) < len(w) else b"")) for w, c in core.items() if w != c)
+        out = [b"".join(map(known.__getitem__, w)) for w in words]
         for w in new:
             if len(w) > CACHED_CHARS:
-                del self.known[w]
+                known.pop(w, None)
+                known.pop(core[w], None)
         return out
 
 
@@ -91,7 +116,8 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, dtype: str = "<u
     """Rows (doc_id, ids): the ids of the whole text and ``end_id``, packed as
     ``dtype``. A null text counts as empty and gives the end id only."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, end = WordEncoder(tokenizer_path, dtype), np.array([end_id], dtype).tobytes()
+        encode = per_worker("tokenizer", (tokenizer_path, dtype), lambda: WordEncoder(tokenizer_path, dtype))
+        end = np.array([end_id], dtype).tobytes()
         for b in batches:
             ids = [x + end for x in encode(b["text"].tolist())]
             yield from frames({"doc_id": b["doc_id"], "ids": ids})
