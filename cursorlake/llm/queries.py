@@ -69,3 +69,9 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import decontaminate
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import near_dup
+    return near_dup.classes(table(spark, sf_dir, "documents"))
