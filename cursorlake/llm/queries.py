@@ -75,3 +75,9 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import near_dup
     return near_dup.classes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import brown
+    return brown.score(table(spark, sf_dir, "documents"), held_out("doc_id", 10))
