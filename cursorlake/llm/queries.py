@@ -81,3 +81,24 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import brown
     return brown.score(table(spark, sf_dir, "documents"), held_out("doc_id", 10))
+
+
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+             ("block", "net/es/"), ("block", "net/fr/")]
+# words of a host name that mark the urls labelled "block" for training
+BLOCKED_WORDS = ["adult", "ads", "bets", "casino", "gambling", "pills", "porn", "spam", "viagra", "warez", "xxx"]
+
+
+@query
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled urls: those whose host names a blocked word, and as allowed ones
+    those that a rule allows. The trees get neither words nor rules, only
+    lexical features."""
+    from . import urls
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    parts = urls.with_parts(pages)
+    _, verdict = urls.rule_for(F.col("host"), F.col("path"), URL_RULES)
+    word = F.col("host").rlike(rf"(^|[.-])({'|'.join(BLOCKED_WORDS)})([.-]|$)")
+    labelled = parts.select("url", F.when(word, 1).when(verdict == "allow", 0).alias("y"))
+    return urls.judged(pages, URL_RULES, urls.fit(labelled)).select(
+        "page_id", "host", "path", "rule", "verdict", "block_score")
