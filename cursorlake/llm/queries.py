@@ -102,3 +102,10 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = parts.select("url", F.when(word, 1).when(verdict == "allow", 0).alias("y"))
     return urls.judged(pages, URL_RULES, urls.fit(labelled)).select(
         "page_id", "host", "path", "rule", "verdict", "block_score")
+
+
+@query
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import pii
+    documents = table(spark, sf_dir, "documents")
+    return pii.digests(pii.spans(documents, pii.fit(documents)))
