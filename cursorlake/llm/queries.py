@@ -109,3 +109,22 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import pii
     documents = table(spark, sf_dir, "documents")
     return pii.digests(pii.spans(documents, pii.fit(documents)))
+
+
+MIX_TARGETS = {
+    "source": {"src0": 0.1},
+    "lang": {"en": 0.5, "fr": 0.18, "de": 0.18, "es": 0.14},
+    "topic": {str(t): 1 / 8 for t in range(8)},
+}
+
+
+@query
+def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import mixing
+    return mixing.mixed(table(spark, sf_dir, "documents"), MIX_TARGETS)
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
