@@ -21,6 +21,8 @@ from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -29,8 +31,11 @@ from .files import AtomicFile, store
 
 HEAD = "<4sIQQ"
 BLOCK_IDS = 1 << 20
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000
 CACHED_CHARS = 64
+SPECIAL = "<|"
+END_MARKS = r"([a-z])([!-/:-@\[-`{-~]+)([ \n]|$)"
+RUN_BYTES = 8 << 20
 # length of each of the four values of a control byte
 LENGTHS = 1 + ((np.arange(256)[:, None] >> np.arange(0, 8, 2)) & 3).astype(np.uint8)
 
@@ -60,71 +65,119 @@ def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 
 class WordEncoder:
-    """Encodes whole texts word by word, remembering frequent words.
+    """Encodes whole texts by their distinct words, remembering frequent ones.
 
     Valid for tokenizers that lower-case, drop white space, part letters from
     everything else and mark the last piece of a word, as word_bpe_49k does: then
-    no piece spans a space or line break, an ASCII word has the ids of its lower
-    case, and a full stop or comma after a letter is a word of its own.
+    no piece spans a space or line break, ASCII letters may be lower-cased before,
+    and marks at the end of a word may stand apart. Texts that may hold special
+    tokens, which are matched as they are written, keep their letters and marks.
+
+    Word number i has the ids flat[start[i]: start[i] + size[i]]; number 0 is the
+    empty word and number 1 stands for the end of a document.
     """
 
-    def __init__(self, path: str, dtype: str):
+    def __init__(self, path: str, end_id: int, dtype: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tokenizer, self.dtype = Tokenizer.from_file(path), dtype
+        self.tokenizer, self.dtype = Tokenizer.from_file(path), np.dtype(dtype)
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {"": b""}
-        self.learn([".", ","])
-
-    def learn(self, words: list[str]) -> None:
-        """Ids of new words: runs of plain words in one call, split again at
-        the pieces that end a word, the others one by one."""
+        self.known: dict[str, int] = {}
+        self.flat, self.used = np.zeros(1 << 16, self.dtype), 0
+        self.start, self.size = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int32)
+        self._add(["", " "], np.array([end_id], self.dtype), np.array([0, 1]))  # a space is in no word
+
+    def _room(self, words: int, ids: int) -> None:
+        """Let the tables hold so many more words and ids."""
+        if len(self.known) + words > len(self.start):
+            n = 2 * (len(self.known) + words)
+            self.start, self.size = np.resize(self.start, n), np.resize(self.size, n)
+        if self.used + ids > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * (self.used + ids))
+
+    def _add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self._room(len(words), len(ids))
+        a = len(self.known)
+        b = a + len(words)
+        self.start[a:b], self.size[a:b] = self.used + np.cumsum(sizes) - sizes, sizes
+        self.flat[self.used: self.used + len(ids)] = ids
+        self.used += len(ids)
+        self.known.update(zip(words, range(a, b)))
+
+    def _learn(self, words: list[str]) -> None:
+        """Plain words in runs of one call each, split again at the pieces that
+        end a word; all others one by one."""
         plain = [w for w in words if w.isalpha() and len(w) <= CACHED_CHARS]
         for at in range(0, len(plain), 4096):
             part = plain[at: at + 4096]
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, self.dtype)
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) == len(part):
-                raw, stops = ids.tobytes(), stops * ids.itemsize
-                self.known.update(zip(part, map(raw.__getitem__, map(slice, [0, *stops[:-1].tolist()], stops.tolist()))))
+                self._add(part, ids, np.diff(stops, prepend=0))
         other = [w for w in words if w not in self.known]
-        found = self.tokenizer.encode_batch_fast(other, add_special_tokens=False)
-        self.known.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(other, found))
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(other, add_special_tokens=False)]
+        self._add(other, np.array(list(chain.from_iterable(found)), self.dtype), np.array([len(x) for x in found], np.int64))
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        words = [t.replace("\n", " ").split(" ") for t in texts]
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        """Word numbers of distinct words; new ones are learnt."""
         known = self.known
-        if len(known) > CACHED_WORDS:  # the first ones seen are the frequent ones
-            known = self.known = dict(islice(known.items(), CACHED_WORDS // 2))
-        new = list(set(chain.from_iterable(words)).difference(known))
-        core = {w: w[:-1] if w[-1] in ".," and len(c := w[-2:-1].lower()) == 1 and c.isalpha() else w for w in new}
-        core = {w: c.lower() if c.isascii() else c for w, c in core.items()}
-        self.learn(list(set(core.values()).difference(known)))
-        known.update((w, known[c] + (known[w[-1]] if len(c) < len(w) else b"")) for w, c in core.items() if w != c)
-        out = [b"".join(map(known.__getitem__, w)) for w in words]
-        for w in new:
-            if len(w) > CACHED_CHARS:
-                known.pop(w, None)
-                known.pop(core[w], None)
-        return out
+        self._learn([w for w in words if w not in known])
+        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+
+    def _gather(self, numbers: np.ndarray) -> np.ndarray:
+        """The ids of a row of word numbers."""
+        size = self.size[numbers]
+        shift = self.start[numbers] - (np.cumsum(size, dtype=np.int64) - size)
+        at = np.repeat(shift, size)
+        at += np.arange(len(at))
+        return self.flat[at]
+
+    def _forget(self) -> None:
+        """Keep the words seen first, which are the frequent ones."""
+        if len(self.known) > CACHED_WORDS or self.used > 8 * CACHED_WORDS:
+            n = min(len(self.known), CACHED_WORDS) // 2
+            self.known = {w: i for w, i in islice(self.known.items(), n)}
+            self.used = int((self.start[:n] + self.size[:n]).max(initial=0))
+
+    def __call__(self, texts: pa.Array) -> pa.Array:
+        """Packed ids of every text, the end id included."""
+        self._forget()
+        if not pc.any(pc.match_substring(texts, SPECIAL)).as_py():
+            texts = pc.replace_substring_regex(pc.ascii_lower(texts), END_MARKS, r"\1 \2\3")
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        words = lists.flatten().dictionary_encode()
+        number = self._numbers(words.dictionary.to_pylist())[words.indices.to_numpy()]
+        stops = lists.offsets.to_numpy()
+        number = np.insert(number, stops[1:] - stops[0], 1)
+        out = self._gather(number)
+        n_words = np.diff(stops)
+        per_doc = np.add.reduceat(self.size[number], np.cumsum(n_words + 1) - n_words - 1, dtype=np.int64)
+        offsets = np.concatenate([[0], np.cumsum(per_doc)]) * self.dtype.itemsize
+        return pa.Array.from_buffers(pa.binary(), len(per_doc), [None, pa.py_buffer(offsets.astype("<i4")), pa.py_buffer(out)])
 
 
 def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, dtype: str = "<u4",
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (doc_id, ids): the ids of the whole text and ``end_id``, packed as
     ``dtype``. A null text counts as empty and gives the end id only."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = per_worker("tokenizer", (tokenizer_path, dtype), lambda: WordEncoder(tokenizer_path, dtype))
-        end = np.array([end_id], dtype).tobytes()
+    key = (tokenizer_path, end_id, dtype)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = per_worker("tokenizer", key, lambda: WordEncoder(*key))
         for b in batches:
-            ids = [x + end for x in encode(b["text"].tolist())]
-            yield from frames({"doc_id": b["doc_id"], "ids": ids})
+            size = np.cumsum(pc.binary_length(b.column(1)).to_numpy(zero_copy_only=False))
+            at = 0
+            while at < b.num_rows:  # runs of bounded length, or single texts
+                n = max(1, int(np.searchsorted(size, (size[at - 1] if at else 0) + RUN_BYTES, side="right")) - at)
+                part = b.slice(at, n)
+                yield pa.RecordBatch.from_arrays([part.column(0), encode(part.column(1))], ["doc_id", "ids"])
+                at += n
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.mapInPandas(run, "doc_id long, ids binary")
+    return rows.mapInArrow(run, "doc_id long, ids binary")
 
 
 def id_counts(tokens: DataFrame, vocabulary: int, dtype: str) -> np.ndarray:
@@ -235,7 +288,7 @@ def token_files(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str |
     folder. An empty table writes no part and gives no rows."""
     from tokenizers import Tokenizer
     spark = docs.sparkSession
-    text_batches(spark)
+    text_batches(spark, 4096)
     vocabulary = max(Tokenizer.from_file(tokenizer_path).get_vocab_size(), end_id + 1)
     dtype = "<u2" if vocabulary <= 1 << 16 else "<u4"
     folder = folder or work_dir(spark, "tid")
