@@ -114,7 +114,8 @@ def _histogram(ids, low, width) -> Callable:
 
         def step(scores, _):
             q, c = np.nonzero(scores >= low[:, None])
-            bins = np.minimum((scores[q, c] - low[q]) // width[q], BINS - 1)
+            above = scores[q, c].astype(np.uint64) - low[q].astype(np.uint64)  # a bracket may be wider than a long
+            bins = np.minimum(above // width[q].astype(np.uint64), BINS - 1).astype(np.int64)
             counts[:] += np.bincount(q * BINS + bins, minlength=len(counts))
 
         def end():
