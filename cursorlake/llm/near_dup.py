@@ -24,23 +24,20 @@ similarity is at least 0.8; classes are the connected components of the links.
   their whole texts.
 
 A text of one to four words is a single shingle and so only matches its copies. A
-text without words (or null) is a class of its own. Nodes are 63-bit hashes of the
-word sequence.
+text without words (or null) is a class of its own. Words are known by 64-bit hashes
+of their bytes, nodes by 63-bit hashes of their word sequence.
 """
 
 from __future__ import annotations
 
-import hashlib
-import re
-from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import frames, mix64, staged, text_batches
+from .common import mix64, staged, text_batches
 from .graph import components
 
 SHINGLE = 5
@@ -50,51 +47,87 @@ COMMON = 0.002
 SMALL = 8
 ESTIMATE = 0.5
 LEADERS = 2
-FLUSH_WORDS = 300_000
+RUN_BYTES = 8 << 20
 BLOCK = 1 << 16
-_WORDS = r"[^\W_]+"
+NO_WORDS = r"[^\p{L}\p{N}]+"
+PLACES = 64
+
+
+def _tabulation() -> np.ndarray:
+    """A fixed random number for each place in a word and byte."""
+    at = np.arange(PLACES * 256, dtype=np.uint64) + np.uint64(1)
+    return mix64(mix64(at * np.uint64(0x9E3779B97F4A7C15))).reshape(PLACES, 256)
+
+
+class Words:
+    """The words of an array of texts: ``number`` of each occurrence, text by
+    text; ``size`` occurrences per text; ``hash`` per number."""
+
+    table = _tabulation()
+
+    def __init__(self, texts: pa.Array):
+        plain = pc.replace_substring_regex(pc.utf8_lower(texts), NO_WORDS, " ")
+        lists = pc.split_pattern(pc.ascii_trim(plain, " "), " ")
+        words = lists.flatten().dictionary_encode()
+        number, size = words.indices.to_numpy(), np.diff(lists.offsets.to_numpy()).astype(np.int64)
+        length = pc.binary_length(words.dictionary).to_numpy(zero_copy_only=False).astype(np.int64)
+        void = length[number] == 0  # a text without words is split into one empty one
+        self.size = size - np.bincount(np.repeat(np.arange(len(size)), size)[void], minlength=len(size))
+        self.number = number[~void]
+        self.hash = self._hashed(words.dictionary, length)
+
+    def _hashed(self, words: pa.Array, length: np.ndarray) -> np.ndarray:
+        """64-bit tabulation hash of each word's bytes."""
+        if not len(words):
+            return np.zeros(0, np.uint64)
+        raw = np.frombuffer(pc.binary_join(pa.array([words.cast(pa.binary()).to_pylist()]), b"")[0].as_py(), np.uint8) \
+            if words.offset else np.frombuffer(words.buffers()[2] or b"", np.uint8)[: int(length.sum())]
+        start = np.cumsum(length) - length
+        place = np.arange(len(raw)) - np.repeat(start, length)
+        value = self.table[place % PLACES, raw] * (2 * (place // PLACES) + 1).astype(np.uint64)
+        total = np.concatenate([[np.uint64(0)], np.cumsum(value, dtype=np.uint64)])
+        return mix64(total[start + length] - total[start] + length.astype(np.uint64))
+
+    def text_of(self) -> np.ndarray:
+        """Index of the text of each occurrence."""
+        return np.repeat(np.arange(len(self.size)), self.size)
+
+
+def runs(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with bounded text, or single long texts."""
+    size = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        n = max(1, int(np.searchsorted(size, (size[at - 1] if at else 0) + RUN_BYTES, side="right")) - at)
+        yield batch.slice(at, n)
+        at += n
 
 
-def words_of(text: str) -> list[str]:
-    return re.findall(_WORDS, text.lower())
-
+class Weights:
+    """Inverse document frequencies: by word hash for the common words, one for
+    all others."""
 
-def node_of(words: list[str]) -> int:
-    return int.from_bytes(hashlib.blake2b(" ".join(words).encode("utf-8", "replace"), digest_size=8).digest(), "big") >> 1
+    def __init__(self, common: np.ndarray, idf: np.ndarray, rare: float):
+        order = np.argsort(common)
+        self.common, self.idf, self.rare = common[order], idf[order], rare
 
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.common):
+            return np.full(len(hashes), self.rare)
+        at = np.minimum(np.searchsorted(self.common, hashes), len(self.common) - 1)
+        return np.where(self.common[at] == hashes, self.idf[at], self.rare)
 
-class Weights:
-    """Hash and inverse document frequency per word, remembered by index."""
-
-    def __init__(self, idf: dict[str, float], rare: float):
-        self.idf, self.rare, self.known = idf, rare, {}
-        self.hash, self.weight = np.zeros(1 << 12, np.uint64), np.zeros(1 << 12, np.float32)
-
-    def index(self, texts: list[list[str]]) -> np.ndarray:
-        """Indexes into hash and weight of all words of ``texts``, in a row."""
-        if len(self.known) > FLUSH_WORDS:
-            self.known = {}
-        for w in set(chain.from_iterable(texts)).difference(self.known):
-            i = self.known[w] = len(self.known)
-            if i >= len(self.hash):
-                self.hash, self.weight = np.resize(self.hash, 2 * i), np.resize(self.weight, 2 * i)
-            self.hash[i] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "replace"), digest_size=8).digest(), "little")
-            self.weight[i] = self.idf.get(w, self.rare)
-        return np.fromiter(map(self.known.__getitem__, chain.from_iterable(texts)), np.int64)
-
-    def shingles(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def shingles(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(starts, shingle hashes, weights): the distinct shingles of every
-        text, sorted; starts has one more entry than ``texts``."""
-        at = self.index(texts)
-        h, w = self.hash[at], self.weight[at].astype(np.float64)
-        size = np.array([len(t) for t in texts], np.int64)
-        begin = np.concatenate([[0], np.cumsum(size)])
-        out_h, out_w = [], []
+        text, sorted; starts has one more entry than there are texts."""
+        h, w = words.hash[words.number], self.of(words.hash)[words.number]
+        begin = np.concatenate([[0], np.cumsum(words.size)])
+        out_h, out_w = [np.zeros(0, np.uint64)], [np.zeros(0)]
         if len(h) >= SHINGLE:
-            rolled = sum(np.roll(h, -j) * np.uint64(0x9E3779B97F4A7C15 ** (j + 1) % (1 << 64)) for j in range(SHINGLE))
-            rolled = mix64(rolled)
+            rolled = mix64(sum(np.roll(h, -j) * np.uint64(0x9E3779B97F4A7C15 ** (j + 1) % (1 << 64)) for j in range(SHINGLE)))
             weight = sum(np.roll(w, -j) for j in range(SHINGLE))
-        for a, n in zip(begin, size):
+        sizes = []
+        for a, n in zip(begin.tolist(), words.size.tolist()):
             if n >= SHINGLE:
                 s, first, count = np.unique(rolled[a: a + n - SHINGLE + 1], return_index=True, return_counts=True)
                 out_h.append(s)
@@ -103,11 +136,17 @@ class Weights:
                 few = h[a: a + n] * np.array([0xC2B2AE3D27D4EB4F ** (j + 1) % (1 << 64) for j in range(n)], np.uint64)
                 out_h.append(mix64(few.sum(keepdims=True) + np.uint64(n)))
                 out_w.append(w[a: a + n].sum(keepdims=True))
-            else:
-                out_h.append(np.zeros(0, np.uint64))
-                out_w.append(np.zeros(0))
-        starts = np.concatenate([[0], np.cumsum([len(x) for x in out_h])]).astype(np.int64)
-        return starts, np.concatenate(out_h), np.concatenate(out_w)
+            sizes.append(len(out_h[-1]) if n else 0)
+        return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), np.concatenate(out_h), np.concatenate(out_w)
+
+
+def nodes_of(words: Words) -> np.ndarray:
+    """A 63-bit hash of each text's word sequence."""
+    begin = np.cumsum(words.size) - words.size
+    place = np.arange(len(words.number)) - np.repeat(begin, words.size)
+    value = mix64(words.hash[words.number] + (place + 1).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+    total = np.concatenate([[np.uint64(0)], np.cumsum(value, dtype=np.uint64)])
+    return (mix64(total[begin + words.size] - total[begin] + words.size.astype(np.uint64)) >> np.uint64(1)).astype(np.int64)
 
 
 def _quantiles() -> tuple[np.ndarray, np.ndarray]:
@@ -160,43 +199,57 @@ def band_keys(samples: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
-def word_weights(docs: DataFrame, text: Column, common: float = COMMON) -> tuple[dict[str, float], float]:
+def word_weights(docs: DataFrame, text: Column, common: float = COMMON) -> Weights:
     """Inverse document frequencies of the common words, and that of the rest."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: Counter = Counter()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
         for b in batches:
-            for t in b["text"]:
-                held.update(set(words_of(t)))
-            if len(held) > FLUSH_WORDS:
-                yield from frames({"word": held.keys(), "n": held.values()})
-                held = Counter()
-        yield from frames({"word": list(held), "n": list(held.values())})
+            for part in runs(b, "text"):
+                words = Words(part.column("text"))
+                n = len(words.hash)
+                seen = np.unique(words.text_of() * n + words.number) % max(n, 1)
+                used, count = np.unique(seen, return_counts=True)
+                held.append((words.hash[used].view(np.int64), count))
+                if len(held) >= 8:
+                    held = [_summed(held)]
+        if held:
+            word, count = _summed(held)
+            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(count)], ["word", "n"])
 
     n = max(1, docs.count())
-    counts = docs.select(text.alias("text")).mapInPandas(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    rows = counts.where(F.col("n") >= common * n).collect()
-    return {r["word"]: float(np.log(1 + n / r["n"])) for r in rows}, float(np.log(1 + 1 / common))
+    counts = docs.select(text.alias("text")).mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    got = counts.where(F.col("n") >= common * n).toPandas()
+    return Weights(got["word"].to_numpy(np.int64).view(np.uint64), np.log(1 + n / got["n"].to_numpy(float)),
+                   float(np.log(1 + 1 / common)))
+
 
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    word, at = np.unique(np.concatenate([w for w, _ in parts]), return_inverse=True)
+    return word, np.bincount(at, np.concatenate([n for _, n in parts]), len(word)).astype(np.int64)
 
-def signatures(docs: DataFrame, id_col: str, text_col: str, idf: dict[str, float], rare: float) -> DataFrame:
-    """(doc_id, raw, node, samples, bands) per row; samples and bands are null
-    for texts without words."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        weights, sampler = Weights(idf, rare), Sampler(BANDS * ROWS)
+
+def signatures(docs: DataFrame, id_col: str, text_col: str, weights: Weights) -> DataFrame:
+    """(doc_id, raw, node, samples, bands) per row; node, samples and bands are
+    null for texts without words."""
+    def lists(full: np.ndarray, rows: np.ndarray, kind: pa.DataType) -> pa.Array:
+        offsets = np.concatenate([[0], np.cumsum(full * rows.shape[1])]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.ravel(), kind), mask=pa.array(~full))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sampler = Sampler(BANDS * ROWS)
         for b in batches:
-            texts = [words_of(t) for t in b["text"]]
-            full = [t for t in texts if t]
-            samples = iter(())
-            if full:
-                got = sampler(*weights.shingles(full))
-                samples = iter(zip(got.view(np.int32).tolist(), band_keys(got, BANDS, ROWS).tolist()))
-            rows = [(node_of(t), *next(samples)) if t else (None, None, None) for t in texts]
-            node, sample, band = zip(*rows) if rows else ((), (), ())
-            yield pd.DataFrame({"doc_id": b["doc_id"], "raw": b["raw"], "node": pd.array(node, "Int64"),
-                                "samples": sample, "bands": band})
+            for part in runs(b, "text"):
+                words = Words(part.column("text"))
+                full = words.size > 0
+                starts, shingle, weight = weights.shingles(words)
+                got = sampler(np.concatenate([starts[:-1][full], starts[-1:]]), shingle, weight)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("raw"), pa.array(nodes_of(words), pa.int64(), mask=~full),
+                     lists(full, got.view(np.int32), pa.int32()), lists(full, band_keys(got, BANDS, ROWS), pa.int64())],
+                    ["doc_id", "raw", "node", "samples", "bands"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.withColumn("raw", F.md5("text")).mapInPandas(
+    return rows.withColumn("raw", F.md5("text")).mapInArrow(
         run, "doc_id long, raw string, node long, samples array<int>, bands array<long>")
 
 
@@ -218,55 +271,67 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return float(common / whole) if whole else 0.0
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, text_col: str, idf: dict[str, float], rare: float,
-             threshold: float = THRESHOLD) -> DataFrame:
-    """The pairs (a, b) whose whole texts are similar enough."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        weights, last = Weights(idf, rare), (None, None)
-        for b in batches:
-            keep = []
-            for a, x, y in zip(b["a"], b["x"], b["y"]):
-                if last[0] != a:
-                    last = (a, weights.shingles([words_of(x)])[1:])
-                keep.append(weighted_jaccard(last[1], weights.shingles([words_of(y)])[1:]) >= threshold)
-            yield from frames({"a": b["a"][keep], "b": b["b"][keep]})
-
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "raw"), "node")
+def bucket_texts(docs: DataFrame, nodes: DataFrame, buckets: DataFrame, text_col: str) -> DataFrame:
+    """(node, text) of every node that shares a bucket, staged: the documents
+    are shuffled once, whatever the number of comparisons."""
+    wanted = buckets.select("node").distinct().join(nodes.select("node", "raw"), "node")
     text = F.coalesce(F.col(text_col), F.lit(""))
     texts = docs.select(F.md5(text).alias("raw"), text.alias("text")).join(wanted, "raw").dropDuplicates(["raw"])
-    texts = staged(texts.select("node", "text"), "near-texts")
+    return staged(texts.select("node", "text"), "near-texts")
+
+
+def verified(pairs: DataFrame, texts: DataFrame, weights: Weights, threshold: float = THRESHOLD) -> DataFrame:
+    """The pairs (a, b) whose whole texts are similar enough."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for part in runs(b, "y"):
+                a, first, of = np.unique(part.column("a").to_numpy(), return_index=True, return_inverse=True)
+                left = weights.shingles(Words(part.column("x").take(pa.array(first))))
+                right = weights.shingles(Words(part.column("y")))
+                keep = [weighted_jaccard(_at(left, i), _at(right, j)) >= threshold for j, i in enumerate(of.tolist())]
+                yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
     both = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b") \
         .join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
-    return both.select("a", "b", "x", "y").mapInPandas(run, "a long, b long")
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
 
+def _at(sets: tuple[np.ndarray, np.ndarray, np.ndarray], i: int) -> tuple[np.ndarray, np.ndarray]:
+    starts, shingle, weight = sets
+    return shingle[starts[i]: starts[i + 1]], weight[starts[i]: starts[i + 1]]
 
-def first_pairs(entries: DataFrame) -> DataFrame:
-    """Pairs of each bucket (key, node): all of a small one, else with its
-    leader."""
+
+def shared_buckets(nodes: DataFrame) -> DataFrame:
+    """(key, node, n, leader) of every bucket of two texts or more."""
+    entries = nodes.select("node", F.explode("bands").alias("key"))
     size = entries.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("leader")).where("n > 1")
-    within = entries.join(size, "key")
-    star = within.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
-    few = within.where((F.col("n") > 2) & (F.col("n") <= SMALL)).select("key", "node", "leader")
+    return entries.join(size, "key")
+
+
+def first_pairs(buckets: DataFrame) -> DataFrame:
+    """Pairs of each bucket: all of a small one, else those with its leader."""
+    star = buckets.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
+    few = buckets.where((F.col("n") > 2) & (F.col("n") <= SMALL)).select("key", "node", "leader")
     rest = few.where("node <> leader").alias("l").join(few.alias("r"), F.expr("l.key = r.key AND l.node < r.node")) \
         .select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
     return star.union(rest)
 
 
-def next_pairs(nodes: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
+def next_pairs(buckets: DataFrame, nodes: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
     """Pairs of different classes that still share a large bucket: the bucket is
     dealt again by every other band."""
-    entries = nodes.select("node", "bands", F.explode("bands").alias("key"))
-    known = entries.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    large = buckets.where(F.col("n") > SMALL).select("key", "node").join(roots, "node", "left") \
+        .withColumn("root", F.coalesce("root", "node"))
 
     def mixed(rows: DataFrame) -> DataFrame:
         some = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"),
                                        F.expr(f"min_by(struct(node, root), xxhash64(node, {turn}))").alias("leader"))
         return rows.join(some.where("low < high").select("key", "n", "leader"), "key")
 
-    deep = mixed(known.select("key", "node", "root", "bands")).where(F.col("n") > SMALL)
-    deep = deep.select("node", "root", "key", F.explode("bands").alias("band")).where("band <> key").select(
-        F.xxhash64(F.least("key", "band"), F.greatest("key", "band")).alias("key"), "node", "root").distinct()
-    again = mixed(deep)
+    open_ = staged(mixed(large).select("key", "node", "root"), "near-open")
+    deep = open_.join(nodes.select("node", "bands"), "node").select("node", "root", "key", F.explode("bands").alias("band")) \
+        .where("band <> key").select(F.xxhash64(F.least("key", "band"), F.greatest("key", "band")).alias("key"), "node", "root")
+    again = mixed(deep.distinct())
     star = again.where("root <> leader.root").select(F.col("leader.node").alias("a"), F.col("node").alias("b"))
     few = again.where((F.col("n") <= 2 * SMALL)).select("key", "node", "root")
     rest = few.alias("l").join(few.alias("r"), F.expr("l.key = r.key AND l.node < r.node AND l.root <> r.root")) \
@@ -278,19 +343,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, raw, class_node) for every row of ``docs``: raw is the md5 of the
     text, class_node names the class (null: a text without words)."""
-    text_batches(docs.sparkSession, 256)
-    idf, rare = word_weights(docs, F.coalesce(F.col(text_col), F.lit("")))
-    rows = staged(signatures(docs, id_col, text_col, idf, rare), "near-rows")
+    text_batches(docs.sparkSession, 2048)
+    weights = word_weights(docs, F.coalesce(F.col(text_col), F.lit("")))
+    rows = staged(signatures(docs, id_col, text_col, weights), "near-rows")
     nodes = staged(rows.where("node IS NOT NULL").groupBy("node").agg(
         F.first("samples").alias("samples"), F.first("bands").alias("bands"), F.min("raw").alias("raw")), "near-nodes")
-    pairs = staged(likely(first_pairs(nodes.select("node", F.explode("bands").alias("key"))), nodes), "near-pairs")
-    links = staged(verified(pairs, nodes, docs, text_col, idf, rare, threshold), "near-links")
+    buckets = staged(shared_buckets(nodes), "near-buckets")
+    texts = bucket_texts(docs, nodes, buckets, text_col)
+    text_batches(docs.sparkSession, 256)
+    pairs = staged(likely(first_pairs(buckets), nodes), "near-pairs")
+    links = staged(verified(pairs, texts, weights, threshold), "near-links")
     roots = components(links)
     for turn in range(LEADERS):
-        more = staged(likely(next_pairs(nodes, roots, turn), nodes).join(pairs, ["a", "b"], "left_anti"), "near-pairs")
+        more = staged(likely(next_pairs(buckets, nodes, roots, turn), nodes).join(pairs, ["a", "b"], "left_anti"), "near-pairs")
         if more.isEmpty():
             break
-        found = staged(verified(more, nodes, docs, text_col, idf, rare, threshold), "near-links")
+        found = staged(verified(more, texts, weights, threshold), "near-links")
         pairs, links = pairs.union(more), links.union(found)
         if not found.isEmpty():
             roots = components(links)
