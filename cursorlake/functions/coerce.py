@@ -6,12 +6,15 @@ absent / null / "" -> False, 0, 0.0 or ""; ``bool(v)`` (so "false", {} and
 truncates 3.9 to 3, accepts " 12 " and true, and gives 0 for "3.9";
 ``float(v)`` accepts numeric text, "inf" and "nan". Two cases make the
 reference's loader crash (its batch fails): an integer that does not fit the
-column, and a non-empty non-text value in a text column. Those rows, and
-messages that are not a JSON object, go to a quarantine with reasons.
-
-All of it is built-in expressions over one variant parse per message. The
-kind of each field's JSON value is read from ``to_json`` of that field alone
-(cheap for scalars), never from a type string of the whole message.
+column, and a non-empty non-text value in a text column. Those rows, messages
+that are not exactly one JSON object, and time stamps that are no epoch-ms event
+time go to a quarantine with reasons.
+
+All of it is built-in expressions. A message whose fields all have their declared
+JSON types (nearly every one) takes them from one typed ``from_json`` with the
+defaults for absent fields. Any other is parsed to a variant; the kind of each
+field's JSON value is read from ``to_json`` of that field alone (cheap for
+scalars), never from a type string of the whole message.
 """
 
 from __future__ import annotations
@@ -20,7 +23,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cursorlake.functions.decode import _path, field_text, is_object, parsed
+from cursorlake.functions.decode import (_path, field_text, is_object, is_plain, parsed, single_object, typed,
+                                         typed_field)
+from cursorlake.functions.time import MS_RANGE, is_event_ms
 from cursorlake.schemas import schema_for_kind
 from cursorlake.session import cached_columns
 
@@ -126,7 +131,7 @@ def message_errors(v: Column, raw: Column) -> Column:
     """Reasons a message cannot be loaded at all."""
     return (F.when(raw.isNull() | v.isNull(), F.lit("not JSON"))
              .when(~is_object(v, raw), F.lit("not a JSON object"))
-             .when(~F.rtrim(raw).endswith("}"), F.lit("text after the JSON object")))
+             .when(~single_object(raw), F.lit("text after the JSON object")))
 
 
 def coerce_defaults(df: DataFrame, kind: str, value: str = "value", extra=None,
@@ -140,18 +145,37 @@ def coerce_defaults(df: DataFrame, kind: str, value: str = "value", extra=None,
     branch of the rules).
     """
     raw = F.col(value)
-    nodes, texts, ints, cols, reasons = _coerce_columns(kind, value, tuple(extra or ()))
-    staged = (df.select(*keep, raw.alias(value), parsed(raw).alias("__v"))
+    message, plain, nodes, texts, ints, cols, reasons = _coerce_columns(kind, value, tuple(extra or ()))
+    slow = F.when(~F.col("__plain"), parsed(raw)).alias("__v")
+    staged = (df.select(*keep, raw.alias(value), message.alias("__m"))
+                .select("*", plain.alias("__plain")).select("*", slow)
                 .select("*", *nodes).select("*", *texts).select("*", *ints))
     return (staged.select(*keep, raw.alias(value), *cols, reasons.alias("reasons"))
                   .withColumn("status", F.when(F.size("reasons") > 0, "quarantine").otherwise("ok")))
 
 
+def _default(c: Column, dtype: T.DataType) -> Column:
+    """The value of a field that has its declared JSON type or is absent."""
+    if isinstance(dtype, T.BooleanType):
+        return F.coalesce(c, F.lit(False))
+    if isinstance(dtype, T.StringType):
+        return F.coalesce(c, F.lit(""))
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.timestamp_millis(F.coalesce(c, F.lit(0).cast("bigint"))).cast("timestamp_ntz")
+    return F.coalesce(c, F.lit(0).cast(dtype))
+
+
 @cached_columns
 def _coerce_columns(kind: str, value: str, extra: tuple):
     schema = schema_for_kind(kind, "loader", list(extra))
-    raw = F.col(value)
+    raw, m, is_typed = F.col(value), F.col("__m"), F.col("__plain")
     fields = list(enumerate(schema.fields))
+    declared = [T.StructField(f.name, T.LongType() if isinstance(f.dataType, T.TimestampNTZType) else f.dataType)
+                for f in schema.fields]
+    stamps = [f.name for f in schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
+    plain = is_plain(m, raw, declared) & single_object(raw)
+    for name in stamps:
+        plain = plain & F.coalesce(is_event_ms(m[name]), F.lit(True))
     nodes = [F.try_variant_get("__v", _path(f.name), "variant").alias(f"__n{i}") for i, f in fields]
     texts = [F.to_json(f"__n{i}").alias(f"__j{i}") for i, _ in fields]
     cols, ints, errors = [], [], [message_errors(F.col("__v"), raw)]
@@ -159,15 +183,18 @@ def _coerce_columns(kind: str, value: str, extra: tuple):
         val, err = coerce_field(F.col(f"__n{i}"), F.col(f"__j{i}"), raw, f.name, f.dataType)
         if isinstance(f.dataType, (T.IntegerType, T.LongType, T.TimestampNTZType)):
             # integers get their own stage: the rule is large, the range check small
-            ints.append(val.alias(f"__i{i}"))
+            ints.append(F.when(~is_typed, val).alias(f"__i{i}"))
             sql_type = "int" if isinstance(f.dataType, T.IntegerType) else "bigint"
             val, err = _int_result(F.col(f"__i{i}"), f.name, sql_type)
-            if isinstance(f.dataType, T.TimestampNTZType):
-                val = F.timestamp_millis(val).cast("timestamp_ntz")
-        cols.append(val.alias(f.name))
+            if f.name in stamps:
+                err = F.coalesce(err, F.when(~is_event_ms(val), F.lit(f"{f.name}: no epoch-ms event time")))
+                val = F.when(val.between(*MS_RANGE), F.timestamp_millis(val)).cast("timestamp_ntz")
+        fast = _default(typed_field(m, raw, declared[i]), f.dataType)
+        cols.append(F.when(is_typed, fast).otherwise(val).alias(f.name))
         if err is not None:
             errors.append(err)
-    return nodes, texts, ints, cols, F.array_compact(F.array(*errors))
+    reasons = F.when(is_typed, F.array().cast("array<string>")).otherwise(F.array_compact(F.array(*errors)))
+    return typed(raw, declared), plain, nodes, texts, ints, cols, reasons
 
 
 def split_status(coerced: DataFrame, status: str, columns: list[str]) -> DataFrame:

@@ -11,10 +11,21 @@ from pyspark.sql import functions as F
 # Fixed value: the zone the dashboard and the streaming job present time in.
 LOCAL_ZONE = "Asia/Seoul"
 
+# Years 1 to 9999: beyond them a number is no epoch-ms event time (micro- and
+# nanosecond stamps fall here), and the conversion would overflow.
+MS_RANGE = (-62135596800000, 253402300799999)
+
+
+def is_event_ms(ms: Column) -> Column:
+    """Whether epoch milliseconds lie in the range of event times."""
+    return ms.between(*MS_RANGE)
+
 
 def epoch_ms_to_ts(ms: Column | str) -> Column:
-    """Epoch milliseconds -> TIMESTAMP (an instant, microsecond precision)."""
-    return F.timestamp_millis(F.col(ms) if isinstance(ms, str) else ms)
+    """Epoch milliseconds -> TIMESTAMP (an instant, microsecond precision);
+    NULL outside MS_RANGE."""
+    c = F.col(ms) if isinstance(ms, str) else ms
+    return F.when(is_event_ms(c), F.timestamp_millis(c))
 
 
 def floor_hour(ts: Column | str) -> Column:

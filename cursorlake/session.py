@@ -28,8 +28,14 @@ DEFAULT_CONF = {
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # state of streaming operators on local disk and in checkpoints, not on the heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+# A message that repeats a key keeps the last value, as JSON readers do.
+LENIENT_JSON = ("spark.sql.variant.allowDuplicateKeys", "true")
+
 
 def build_session(master: str | None = None, app_name: str = "cursorlake",
                   conf: dict[str, str] | None = None) -> SparkSession:
@@ -45,19 +51,27 @@ def build_session(master: str | None = None, app_name: str = "cursorlake",
 
 
 def pin_zone(spark: SparkSession) -> None:
-    """Pin the session zone; zone-aware expressions bind it at analysis."""
+    """Pin the session zone and the JSON rule; expressions bind both at analysis."""
     spark.conf.set("spark.sql.session.timeZone", SESSION_ZONE)
+    spark.conf.set(*LENIENT_JSON)
+
+
+def is_one_process(master: str) -> bool:
+    """Whether driver and executors are one process (local, local[n])."""
+    return master == "local" or master.startswith("local[")
 
 
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Read from the session; only when unset (as in local tests) is a folder
-    created and registered as the checkpoint dir.
+    Read from the session; only when unset, and only in a single process (as in
+    local tests), is a folder created and registered as the checkpoint dir.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not is_one_process(sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="cursorlake-")
         sc.setCheckpointDir(root)
     return root.rstrip("/")
