@@ -14,11 +14,14 @@ similarity is at least 0.8; classes are the connected components of the links.
   Jaccard similarity. Ten bands of three samples make the buckets: texts of
   similarity 0.8 meet with probability 0.9992.
 * Equal texts are one node of the graph, so copies cost one row each. In a bucket
-  of up to ``SMALL`` texts all pairs are compared; in a larger one every text is
-  compared with one leader. What then still lies in different classes of a large
-  bucket is dealt again by a second band, where small buckets are compared in
-  full and large ones with further leaders. Rows stay in proportion to bucket
-  sizes.
+  of up to ``SMALL`` texts all pairs are compared. In a larger one every text is
+  compared with the leader, the one that shares the most buckets with others (the
+  original among its near copies). As long as this finds new links, large buckets
+  that still hold several classes are gone through again: if all but ``FEW`` of
+  their texts are of one class, those few are compared with all; else the bucket
+  is dealt again by each other band, parts of up to ``FEW`` texts are compared in
+  full, and the larger ones with their few, or else another leader. Rows stay in
+  proportion to bucket sizes.
 * Candidate pairs that agree in fewer than half of the samples are put aside (a
   pair of similarity 0.8 does with probability 0.0001); the others are verified on
   their whole texts.
@@ -45,8 +48,9 @@ THRESHOLD = 0.8
 BANDS, ROWS = 10, 3
 COMMON = 0.002
 SMALL = 8
+FEW = 16
 ESTIMATE = 0.5
-LEADERS = 2
+TURNS = 8
 RUN_BYTES = 8 << 20
 BLOCK = 1 << 16
 NO_WORDS = r"[^\p{L}\p{N}]+"
@@ -228,8 +232,15 @@ def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return word, np.bincount(at, np.concatenate([n for _, n in parts]), len(word)).astype(np.int64)
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """Names a row by id and text, so that copies with ids of their own are
+    apart; rows equal in both share a key."""
+    return F.concat_ws(":", F.coalesce(F.col(id_col).cast("long").cast("string"), F.lit("")),
+                       F.md5(F.coalesce(F.col(text_col), F.lit(""))))
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str, weights: Weights) -> DataFrame:
-    """(doc_id, raw, node, samples, bands) per row; node, samples and bands are
+    """(doc_id, key, node, samples, bands) per row; node, samples and bands are
     null for texts without words."""
     def lists(full: np.ndarray, rows: np.ndarray, kind: pa.DataType) -> pa.Array:
         offsets = np.concatenate([[0], np.cumsum(full * rows.shape[1])]).astype(np.int32)
@@ -244,13 +255,13 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, weights: Weights) ->
                 starts, shingle, weight = weights.shingles(words)
                 got = sampler(np.concatenate([starts[:-1][full], starts[-1:]]), shingle, weight)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("raw"), pa.array(nodes_of(words), pa.int64(), mask=~full),
+                    [part.column("doc_id"), part.column("key"), pa.array(nodes_of(words), pa.int64(), mask=~full),
                      lists(full, got.view(np.int32), pa.int32()), lists(full, band_keys(got, BANDS, ROWS), pa.int64())],
-                    ["doc_id", "raw", "node", "samples", "bands"])
+                    ["doc_id", "key", "node", "samples", "bands"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.withColumn("raw", F.md5("text")).mapInArrow(
-        run, "doc_id long, raw string, node long, samples array<int>, bands array<long>")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(id_col, text_col).alias("key"),
+                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return rows.mapInArrow(run, "doc_id long, key string, node long, samples array<int>, bands array<long>")
 
 
 def likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -271,13 +282,13 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return float(common / whole) if whole else 0.0
 
 
-def bucket_texts(docs: DataFrame, nodes: DataFrame, buckets: DataFrame, text_col: str) -> DataFrame:
+def bucket_texts(docs: DataFrame, nodes: DataFrame, buckets: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(node, text) of every node that shares a bucket, staged: the documents
-    are shuffled once, whatever the number of comparisons."""
-    wanted = buckets.select("node").distinct().join(nodes.select("node", "raw"), "node")
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    texts = docs.select(F.md5(text).alias("raw"), text.alias("text")).join(wanted, "raw").dropDuplicates(["raw"])
-    return staged(texts.select("node", "text"), "near-texts")
+    are shuffled once, whatever the number of comparisons, and by a key that
+    copies do not share."""
+    wanted = buckets.select("node").distinct().join(nodes.select("node", "key"), "node")
+    texts = docs.select(row_key(id_col, text_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return staged(texts.join(wanted, "key").dropDuplicates(["key"]).select("node", "text"), "near-texts")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, weights: Weights, threshold: float = THRESHOLD) -> DataFrame:
@@ -302,59 +313,78 @@ def _at(sets: tuple[np.ndarray, np.ndarray, np.ndarray], i: int) -> tuple[np.nda
 
 
 def shared_buckets(nodes: DataFrame) -> DataFrame:
-    """(key, node, n, leader) of every bucket of two texts or more."""
+    """(key, node, n, degree) of every bucket of two texts or more; degree is the
+    number of texts that the node meets over all its buckets."""
     entries = nodes.select("node", F.explode("bands").alias("key"))
-    size = entries.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("leader")).where("n > 1")
-    return entries.join(size, "key")
+    shared = entries.join(entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key")
+    shared = staged(shared, "near-entries")
+    return shared.join(shared.groupBy("node").agg(F.sum("n").alias("degree")), "node")
 
 
 def first_pairs(buckets: DataFrame) -> DataFrame:
     """Pairs of each bucket: all of a small one, else those with its leader."""
-    star = buckets.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
-    few = buckets.where((F.col("n") > 2) & (F.col("n") <= SMALL)).select("key", "node", "leader")
-    rest = few.where("node <> leader").alias("l").join(few.alias("r"), F.expr("l.key = r.key AND l.node < r.node")) \
+    large = buckets.where(F.col("n") > SMALL)
+    leader = large.groupBy("key").agg(F.expr("min_by(node, struct(-degree, node))").alias("leader"))
+    star = large.join(leader, "key").where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
+    few = buckets.where(F.col("n") <= SMALL).select("key", "node")
+    rest = few.alias("l").join(few.alias("r"), F.expr("l.key = r.key AND l.node < r.node")) \
         .select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
     return star.union(rest)
 
 
+def _mixed(rows: DataFrame, turn: int) -> DataFrame:
+    """Rows (key, node, root, degree) of the keys that hold several classes, with
+    the number of texts, the largest class (``main``), how many texts are not of
+    it (``others``) and a leader."""
+    parts = rows.groupBy("key", "root").agg(F.count("*").alias("part"), F.expr(
+        f"min_by(node, {'struct(-degree, node)' if turn % 2 == 0 else f'xxhash64(node, {turn})'})").alias("first"))
+    some = parts.groupBy("key").agg(F.sum("part").alias("n"), F.count("*").alias("classes"),
+                                    F.expr("max_by(struct(root, part), struct(part, -root))").alias("main"),
+                                    F.expr(f"min_by(struct(first AS node, root), xxhash64(first, {turn}))").alias("leader"))
+    some = some.where("classes > 1").select("key", "n", F.col("main.root").alias("main"),
+                                            (F.col("n") - F.col("main.part")).alias("others"), "leader")
+    return rows.join(some, "key")
+
+
+def _across(rows: DataFrame) -> DataFrame:
+    """Pairs of different classes in mixed keys with few texts outside the
+    largest class: those few against all."""
+    rows = rows.where(F.col("others") <= FEW)
+    few = rows.where("root <> main").select("key", "node", "root").alias("l")
+    return few.join(rows.alias("r"), F.expr("l.key = r.key AND l.root <> r.root")).select(
+        F.col("l.node").alias("a"), F.col("r.node").alias("b"))
+
+
 def next_pairs(buckets: DataFrame, nodes: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
-    """Pairs of different classes that still share a large bucket: the bucket is
-    dealt again by every other band."""
-    large = buckets.where(F.col("n") > SMALL).select("key", "node").join(roots, "node", "left") \
+    """Pairs of different classes that still share a large bucket."""
+    large = buckets.where(F.col("n") > SMALL).select("key", "node", "degree").join(roots, "node", "left") \
         .withColumn("root", F.coalesce("root", "node"))
-
-    def mixed(rows: DataFrame) -> DataFrame:
-        some = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"),
-                                       F.expr(f"min_by(struct(node, root), xxhash64(node, {turn}))").alias("leader"))
-        return rows.join(some.where("low < high").select("key", "n", "leader"), "key")
-
-    open_ = staged(mixed(large).select("key", "node", "root"), "near-open")
-    deep = open_.join(nodes.select("node", "bands"), "node").select("node", "root", "key", F.explode("bands").alias("band")) \
-        .where("band <> key").select(F.xxhash64(F.least("key", "band"), F.greatest("key", "band")).alias("key"), "node", "root")
-    again = mixed(deep.distinct())
-    star = again.where("root <> leader.root").select(F.col("leader.node").alias("a"), F.col("node").alias("b"))
-    few = again.where((F.col("n") <= 2 * SMALL)).select("key", "node", "root")
-    rest = few.alias("l").join(few.alias("r"), F.expr("l.key = r.key AND l.node < r.node AND l.root <> r.root")) \
-        .select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
-    return star.union(rest)
+    open_ = staged(_mixed(large, turn), "near-open")
+    deep = open_.where(F.col("others") > FEW).select("node", "root", "degree", "key") \
+        .join(nodes.select("node", "bands"), "node").withColumn("band", F.explode("bands")).where("band <> key")
+    deep = deep.select(F.xxhash64(F.least("key", "band"), F.greatest("key", "band")).alias("key"), "node", "root", "degree")
+    again = staged(_mixed(deep.distinct(), turn), "near-deep")
+    star = again.where((F.col("others") > FEW) & (F.col("root") != F.col("leader.root"))).select(
+        F.col("leader.node").alias("a"), F.col("node").alias("b"))
+    return _across(open_).union(_across(again)).union(star)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, raw, class_node) for every row of ``docs``: raw is the md5 of the
-    text, class_node names the class (null: a text without words)."""
+    """(doc_id, key, class_node) for every row of ``docs``: key is its row_key,
+    class_node names the class (null: a text without words)."""
     text_batches(docs.sparkSession, 2048)
     weights = word_weights(docs, F.coalesce(F.col(text_col), F.lit("")))
     rows = staged(signatures(docs, id_col, text_col, weights), "near-rows")
     nodes = staged(rows.where("node IS NOT NULL").groupBy("node").agg(
-        F.first("samples").alias("samples"), F.first("bands").alias("bands"), F.min("raw").alias("raw")), "near-nodes")
+        F.first("samples").alias("samples"), F.first("bands").alias("bands"), F.min("key").alias("key")), "near-nodes")
     buckets = staged(shared_buckets(nodes), "near-buckets")
-    texts = bucket_texts(docs, nodes, buckets, text_col)
+    texts = bucket_texts(docs, nodes, buckets, id_col, text_col)
     text_batches(docs.sparkSession, 256)
     pairs = staged(likely(first_pairs(buckets), nodes), "near-pairs")
     links = staged(verified(pairs, texts, weights, threshold), "near-links")
     roots = components(links)
-    for turn in range(LEADERS):
+    for turn in range(TURNS):
         more = staged(likely(next_pairs(buckets, nodes, roots, turn), nodes).join(pairs, ["a", "b"], "left_anti"), "near-pairs")
         if more.isEmpty():
             break
@@ -362,7 +392,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         pairs, links = pairs.union(more), links.union(found)
         if not found.isEmpty():
             roots = components(links)
-    return rows.join(roots, "node", "left").select("doc_id", "raw", F.coalesce("root", "node").alias("class_node"))
+        elif turn:  # two kinds of leaders found nothing
+            break
+    return rows.join(roots, "node", "left").select("doc_id", "key", F.coalesce("root", "node").alias("class_node"))
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -377,13 +409,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row (all columns) of each class: that of the smallest id, null ids
     last. Of rows equal in id and text one stays; texts without words stay."""
-    def key(id_: Column, raw: Column) -> Column:
-        return F.concat_ws(":", F.coalesce(id_.cast("string"), F.lit("")), raw)
-
     rows = staged(near_duplicates(docs, threshold=threshold), "near-classes")
-    order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id"), F.col("raw"))
-    best = rows.where("class_node IS NOT NULL").groupBy("class_node").agg(F.min(order).alias("o")) \
-        .select(key(F.col("o.doc_id"), F.col("o.raw")).alias("__key"))
-    alone = rows.where("class_node IS NULL").select(key(F.col("doc_id"), F.col("raw")).alias("__key"))
-    keyed = docs.withColumn("__key", key(F.col("doc_id").cast("long"), F.md5(F.coalesce("text", F.lit("")))))
-    return keyed.join(best.union(alone).distinct(), "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")
+    order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id"), F.col("key"))
+    best = rows.where("class_node IS NOT NULL").groupBy("class_node").agg(F.min(order).alias("o")).select(F.col("o.key"))
+    alone = rows.where("class_node IS NULL").select("key")
+    keyed = docs.withColumn("__key", row_key("doc_id", "text"))
+    kept = best.union(alone).distinct().withColumnRenamed("key", "__key")
+    return keyed.join(kept, "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")
