@@ -73,7 +73,6 @@ def to_local_time(df: DataFrame, zone: str = LOCAL_ZONE,
     return out
 
 
-def minute_bucket(ts: Column, zone: str | None = None) -> Column:
-    """Minute of an instant, as NTZ wall clock in ``zone``."""
-    c = F.from_utc_timestamp(ts, zone) if zone and zone != "UTC" else ts
-    return F.date_trunc("MINUTE", c).cast("timestamp_ntz")
+def minute_bucket(ts: Column) -> Column:
+    """Minute of an instant, as UTC wall clock."""
+    return F.date_trunc("MINUTE", ts).cast("timestamp_ntz")

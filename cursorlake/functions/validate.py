@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cursorlake.functions.decode import _path, is_object, parsed
+from cursorlake.functions.decode import _path, parsed, single_object
 from cursorlake.session import cached_columns
 
 MODIFIERS = ("altKey", "ctrlKey", "metaKey", "shiftKey")
@@ -91,7 +91,7 @@ def _text(name: str) -> tuple[Column, Column]:
 
 @cached_columns
 def _rules(kind: str, value: str) -> tuple[list[Column], Column]:
-    cols, failed = [], [F.when(~is_object(F.col("__v"), F.col(value)), F.lit("not a JSON object"))]
+    cols, failed = [], [F.when(~single_object(F.col(value)), F.lit("not a JSON object"))]
     for m in MODIFIERS:
         v, ok = _flag(m)
         cols.append(v.alias(m))

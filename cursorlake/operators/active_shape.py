@@ -6,14 +6,17 @@ state after each event is the last non-null "marker" so far (shape id, or
 '' for a clear) -- a carry-forward, which is associative, so it is computed
 as a two-level scan instead of one window over a whole key:
 
-1. rows are shuffled by (key, time chunk) and a window inside each chunk
+1. rows are shuffled once by (key, time chunk) and a window inside each chunk
    carries markers forward locally; a hot key is spread over its chunks;
-2. per (key, chunk) the chunk's last marker is taken (no new shuffle: the
-   rows are already partitioned by (key, chunk));
+2. the last row of every chunk is taken from the same shuffled rows (as a whole
+   row, so that both uses of the exchange read the same columns and share it);
 3. a window over the small chunk table per key carries the markers across
    chunks (one row per chunk, not per event);
-4. each row takes its local marker, else the carried one (join on
-   (key, chunk), co-partitioned with step 1).
+4. each row takes its local marker, else the carried one, by a join on
+   (key, chunk), for which the rows already lie right.
+
+A NULL key is a key like any other, as in a window: key and chunk are compared
+inside a struct, where NULL equals NULL.
 """
 
 from __future__ import annotations
@@ -40,21 +43,21 @@ def active_shape(df: DataFrame, key: str = "user_id", order: tuple[str, ...] = (
     """
     t = order[0]
     chunk = F.floor(F.col(t) / F.lit(chunk_ms)).cast("long")
+    names = [f"`{c}`" for c in df.columns]
     rows = (df.withColumn("__mk", markers(df, event_type, shape_id))
-              .withColumn("__chunk", chunk))
-    w_local = (Window.partitionBy(key, "__chunk").orderBy(*order)
+              .withColumn("__part", F.struct(F.col(key).alias("key"), chunk.alias("chunk"))))
+    w_local = (Window.partitionBy("__part").orderBy(*order)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = rows.withColumn("__local", F.last("__mk", ignorenulls=True).over(w_local))
-    per_chunk = local.groupBy(key, "__chunk").agg(
-        F.max_by("__mk", F.when(F.col("__mk").isNotNull(), F.struct(*order))).alias("__last"))
-    w_carry = (Window.partitionBy(key).orderBy("__chunk")
+    last_row = F.max_by(F.struct("__local", *names), F.struct(*order))
+    per_chunk = local.groupBy("__part").agg(last_row.alias("__end"))
+    w_carry = (Window.partitionBy("__part.key").orderBy("__part.chunk")
                .rowsBetween(Window.unboundedPreceding, -1))
-    carry = per_chunk.select(key, "__chunk",
-                             F.last("__last", ignorenulls=True).over(w_carry).alias("__carry"))
+    carry = per_chunk.select("__part", F.last("__end.__local", ignorenulls=True).over(w_carry).alias("__carry"))
     state = F.coalesce(F.col("__local"), F.col("__carry"))
-    return (local.join(carry, [key, "__chunk"], "left")
+    return (local.join(carry, ["__part"], "left")
                  .withColumn(out, F.when(state != CLEAR, state))
-                 .drop("__mk", "__chunk", "__local", "__carry"))
+                 .drop("__mk", "__part", "__local", "__carry"))
 
 
 def active_shape_single_window(df: DataFrame, key: str = "user_id",

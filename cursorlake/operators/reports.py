@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cursorlake.functions.time import LOCAL_ZONE, epoch_ms_to_ts, minute_bucket
+from cursorlake.functions.time import LOCAL_ZONE, epoch_ms_to_ts, minute_bucket, wallclock
 
 
 def count_events(df: DataFrame) -> DataFrame:
@@ -32,8 +32,10 @@ def _instant(df: DataFrame, col: str) -> Column:
 
 def events_per_minute(df: DataFrame, time_col: str = "timestamp",
                       zone: str | None = LOCAL_ZONE) -> DataFrame:
-    """A2: rows per minute of ``time_col`` in local time, with a 0 row for
-    every empty minute between the first and the last; no input, no rows.
+    """A2: rows per minute of ``time_col``, with a 0 row for every empty minute
+    between the first and the last; no input, no rows. Minutes are those of UTC
+    and are shown in local time last, so where clocks change an hour that is
+    repeated shows twice and one that is skipped not at all.
 
     Plan: (1) count per minute -- partial aggregation, then one shuffle of
     at most one row per minute and partition; (2) the minute spine is built
@@ -46,7 +48,7 @@ def events_per_minute(df: DataFrame, time_col: str = "timestamp",
     # rows without a time have no bin; the explicit filter also keeps both
     # uses of ``counts`` identical (the join would infer it on one side
     # only), so their exchange is computed once and reused
-    counts = (df.select(minute_bucket(_instant(df, time_col), zone).alias("minute"))
+    counts = (df.select(minute_bucket(_instant(df, time_col)).alias("minute"))
                 .where(F.col("minute").isNotNull())
                 .groupBy("minute").agg(F.count(F.lit(1)).alias("n")))
     # min/max over the counts, written so that they read ``n``: min/max of a
@@ -66,7 +68,8 @@ def events_per_minute(df: DataFrame, time_col: str = "timestamp",
                      F.least(day + F.expr("INTERVAL 1439 MINUTES"), F.col("hi")),
                      F.expr("INTERVAL 1 MINUTE"))).alias("minute")))
     return (spine.join(counts, "minute", "left")
-                 .select("minute", F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n")))
+                 .select(wallclock(F.col("minute").cast("timestamp"), zone).alias("minute"),
+                         F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n")))
 
 
 def newest_first(df: DataFrame, time_col: str = "timestamp", tie: str | None = "event_id") -> DataFrame:

@@ -11,6 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cursorlake.operators.project import project
 from cursorlake.plans import flows
 from cursorlake.plans.registry import register
 from cursorlake.schemas import table_name
@@ -18,26 +19,30 @@ from cursorlake.session import work_dir
 from cursorlake.sinks.tables import Lakehouse
 from cursorlake.sinks.topic import write_topics
 from cursorlake.sources import files
-from cursorlake.sources.events import EXTRA_FIELDS
+from cursorlake.sources.events import EXTRA_FIELDS, is_mouse
 from cursorlake.sources.tables import scan_columns as _scan_columns
 from cursorlake.sources.topic import read_topic
 from cursorlake.streaming.ingest import await_all, ingest_topics, start_ingest
 
 
 def new_lake(spark: SparkSession) -> Lakehouse:
+    """A namespace of its own for one query."""
     return Lakehouse(spark, namespace=f"user_events_{uuid.uuid4().hex[:10]}")
 
 
-def drop_topics(spark: SparkSession, sf_dir: str, root: str, where=None) -> None:
-    """K1 end to end: route the derived payloads and append them to the
-    file topics (one delivery)."""
-    write_topics(flows.routed(spark, sf_dir, where), "text", root)
+def drop_topics(spark: SparkSession, sf_dir: str, root: str, where=None, kinds=("mouse", "keydown")) -> None:
+    """K1 end to end: route the derived payloads of ``kinds`` and append them to
+    the file topics (one delivery)."""
+    wanted = flows.routed(spark, sf_dir, where)
+    if len(kinds) == 1:
+        wanted = wanted.where(is_mouse(F.col("event_id")) if kinds[0] == "mouse" else ~is_mouse(F.col("event_id")))
+    write_topics(wanted, "text", root)
 
 
 def ingested(spark: SparkSession, sf_dir: str, kinds=("mouse", "keydown")) -> Lakehouse:
     lake = new_lake(spark)
     topics = work_dir(spark, "topics")
-    drop_topics(spark, sf_dir, topics)
+    drop_topics(spark, sf_dir, topics, kinds=kinds)
     await_all(ingest_topics(lake, kinds, topic_root=topics, extra=EXTRA_FIELDS, available_now=True))
     return lake
 
@@ -57,8 +62,8 @@ def _counts(lake: Lakehouse, kinds) -> DataFrame:
 def source_topic(spark, sf_dir):
     """The mouse topic read as a stream; which messages arrived."""
     topics, out = work_dir(spark, "topics"), work_dir(spark, "raw")
-    drop_topics(spark, sf_dir, topics)
-    q = (read_topic(spark, "mouse_events", root=topics, max_per_trigger=4)
+    drop_topics(spark, sf_dir, topics, kinds=("mouse",))
+    q = (read_topic(spark, "mouse_events", root=topics)
          .writeStream.format("parquet").option("checkpointLocation", out + "/_cp")
          .trigger(availableNow=True).start(out + "/data"))
     await_all([q])
@@ -88,9 +93,12 @@ def multi_topic_ingest(spark, sf_dir):
 
 @register("partitioned_table")
 def partitioned_table(spark, sf_dir):
-    """K6: rows per hour partition of the mouse table."""
-    t = ingested(spark, sf_dir, ("mouse",)).read("mouse")
-    return flows.presentable(t.groupBy("ts_hour").agg(F.count(F.lit(1)).alias("n")))
+    """K6: mouse rows appended as a batch, dealt out by hour; rows per hour
+    partition."""
+    lake = new_lake(spark)
+    lake.create_if_absent("mouse", "sink", EXTRA_FIELDS)
+    lake.append_batch(project(flows.decoded(spark, sf_dir, "mouse"), "mouse", "sink", EXTRA_FIELDS), "mouse")
+    return flows.presentable(lake.read("mouse").groupBy("ts_hour").agg(F.count(F.lit(1)).alias("n")))
 
 
 # --- W1 / W2: late rows and restarts -------------------------------------------
@@ -100,10 +108,11 @@ def _two_deliveries(spark, sf_dir, kind, first, second) -> Lakehouse:
     topics = work_dir(spark, "topics")
     for part in (first, second, None):
         if part is not None:
-            drop_topics(spark, sf_dir, topics, part)
-        # same checkpoint every run: a restart resumes after the last commit;
-        # the last run finds nothing new and must add nothing
-        await_all(ingest_topics(lake, (kind,), topic_root=topics, extra=EXTRA_FIELDS, available_now=True))
+            drop_topics(spark, sf_dir, topics, part, kinds=(kind,))
+        # each run finds the namespace's place and the table's checkpoint anew,
+        # as another process would; the last one must add nothing
+        again = Lakehouse(spark, namespace=lake.namespace)
+        await_all(ingest_topics(again, (kind,), topic_root=topics, extra=EXTRA_FIELDS, available_now=True))
     return lake
 
 
@@ -143,35 +152,48 @@ def scan_columns(spark, sf_dir):
 
 @register("table_files")
 def table_files(spark, sf_dir):
-    """Data files of the mouse table with size and rows."""
+    """The data files of the mouse table, summed up by hour: the names and
+    number of files depend on the writer, their rows do not."""
     lake = ingested(spark, sf_dir, ("mouse",))
-    return files.table_files(lake.read("mouse"))
+    found = files.table_files(lake.read("mouse"))
+    hour = F.regexp_extract(F.url_decode(F.url_decode("file_path")), r"ts_hour=([^/]*)/", 1).cast("timestamp_ntz")
+    return found.groupBy(hour.alias("ts_hour")).agg(F.sum("rows").alias("n"), F.min(F.col("file_size") > 0).alias("has_bytes"))
 
 
 @register("latest_file")
 def latest_file(spark, sf_dir):
-    """Newest data file of the mouse table."""
+    """The newest data file of the mouse table: how many, and whether it
+    is one of the table's files."""
     lake = ingested(spark, sf_dir, ("mouse",))
-    return files.latest_file(spark, lake.location("mouse"), "data")
+    newest = files.latest_file(spark, lake.location("mouse"), "data")
+    known = files.table_files(lake.read("mouse")).select("file_path", F.lit(1).alias("known"))
+    name = F.element_at(F.split(F.col("path"), "/"), -1)
+    return newest.join(known, name == F.element_at(F.split("file_path", "/"), -1), "left").agg(
+        F.count(F.lit(1)).alias("n"), F.count("known").alias("n_known"))
 
 
 @register("file_name_filter")
 def file_name_filter(spark, sf_dir):
-    """files of the mouse table classified by the explorer's rules."""
+    """files of the mouse table by the explorer's rules, with their rows."""
     lake = ingested(spark, sf_dir, ("mouse",))
     listing = files.list_files(spark, lake.location("mouse"))
     kind = F.lit(None).cast("string")
     for name in reversed(list(files.FILE_RULES)):
         kind = F.when(files.file_name_filter(F.col("path"), name), F.lit(name)).otherwise(kind)
-    return listing.select("path", kind.alias("kind")).where(F.col("kind").isNotNull())
+    rows = files.table_files(lake.read("mouse")).select(F.element_at(F.split("file_path", "/"), -1).alias("name"), "rows")
+    found = listing.select(F.element_at(F.split("path", "/"), -1).alias("name"), kind.alias("kind")).where("kind IS NOT NULL")
+    return found.join(rows, "name", "left").groupBy("kind").agg(F.sum("rows").alias("n"))
 
 
 @register("scan_parquet_file")
 def scan_parquet_file(spark, sf_dir):
-    """Head of the newest data file of the keydown table."""
+    """Head of the newest data file of the keydown table: how many rows
+    came and how many are events."""
     lake = ingested(spark, sf_dir, ("keydown",))
     newest = files.latest_file(spark, lake.location("keydown"), "data").first()
-    return files.scan_parquet_file(spark, newest["path"], 5)
+    head = files.scan_parquet_file(spark, newest["path"], 1)
+    known = lake.read("keydown").select("event_id", F.lit(1).alias("known"))
+    return head.join(known, "event_id", "left").agg(F.count(F.lit(1)).alias("n"), F.count("known").alias("n_events"))
 
 
 @register("list_tables")
@@ -201,16 +223,15 @@ def create_if_absent(spark, sf_dir):
 
 @register("recreate_table")
 def recreate_table(spark, sf_dir):
-    """K8: drop and create, then ingest again from scratch: one copy."""
+    """K8: ingest, drop and create, then ingest again: one copy."""
     lake = new_lake(spark)
     topics = work_dir(spark, "topics")
-    drop_topics(spark, sf_dir, topics)
-    src = read_topic(spark, "keydown_events", root=topics)
-    await_all([start_ingest(lake, "keydown", src, EXTRA_FIELDS, available_now=True)])
-    lake.recreate_table("keydown", "sink", EXTRA_FIELDS)
-    again = Lakehouse(spark, lake.root + "/second", lake.namespace)
-    await_all([start_ingest(again, "keydown", read_topic(spark, "keydown_events", root=topics),
-                            EXTRA_FIELDS, available_now=True)])
+    drop_topics(spark, sf_dir, topics, kinds=("keydown",))
+    for again in (False, True):
+        if again:
+            lake.recreate_table("keydown", "sink", EXTRA_FIELDS)
+        await_all([start_ingest(lake, "keydown", read_topic(spark, "keydown_events", root=topics),
+                                EXTRA_FIELDS, available_now=True)])
     return _counts(lake, ("keydown",))
 
 
@@ -237,7 +258,7 @@ def active_shape_stream(spark, sf_dir):
     early, late = flows.time_split(spark, sf_dir)
     topics, out = work_dir(spark, "topics"), work_dir(spark, "active")
     for part in (early, late):
-        drop_topics(spark, sf_dir, topics, part)
+        drop_topics(spark, sf_dir, topics, part, kinds=("mouse",))
         src = read_topic(spark, "mouse_events", root=topics)
         rows = decode_lenient(src, "mouse", extra=EXTRA_FIELDS).select(
             "user_id", "event_id", "timestamp", "event_type",

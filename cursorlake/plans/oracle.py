@@ -9,7 +9,7 @@ checks the Spark plans independently of how they are built.
 from __future__ import annotations
 
 from cursorlake.functions.shapes import TEST_SHAPES
-from cursorlake.sources.events import CODES, KEYS, MOUSE_TYPES
+from cursorlake.sources.events import CODES, DIRTY_EVERY, DIRTY_MESSAGES, KEYS, MOUSE_TYPES
 
 
 def _lit(v) -> str:
@@ -116,3 +116,108 @@ KEYDOWN_COLS = 'altKey, ctrlKey, metaKey, shiftKey, "key", code, "timestamp", "t
 
 def with_ctes(body: str, order: str = "last") -> str:
     return "WITH " + ctes(order).strip() + "\n" + body
+
+
+# What becomes of each of DIRTY_MESSAGES, written down by hand. Lenient decode:
+# (clientX, altKey, timestamp, shape, event_id is there), or None if dropped.
+LENIENT = [
+    ("12", "false", "1704067200123", "NULL", "true"),
+    ("3", "false", "NULL", "'[]'", "true"),
+    ("NULL", "NULL", "NULL", "NULL", "false"),
+    None,
+    None,
+    None,
+    ("NULL", "NULL", "NULL", "NULL", "true"),
+    ("1", "NULL", "NULL", "NULL", "true"),
+    ("NULL", "NULL", "NULL", "NULL", "true"),
+    ("12", "NULL", "NULL", "NULL", "true"),
+    None,
+    ("NULL", "NULL", "NULL", "NULL", "true"),
+    ("1", "NULL", "NULL", "NULL", "true"),
+    ("1", "NULL", "NULL", "NULL", "true"),
+    ("2", "NULL", "NULL", "NULL", "true"),
+    ("NULL", "NULL", "1704067200123456789", "NULL", "true"),
+    ("NULL", "NULL", "1704067200123456", "NULL", "true"),
+    ("NULL", "NULL", "9223372036854775807", "NULL", "true"),
+]
+# Loader: (clientX, altKey, timestamp, shape, event_id is there), or None if kept
+# aside; the seventh cannot be loaded as a mouse event only, for its clientX.
+LOADER = [
+    ("12", "true", "1704067200123", "''", "true"),
+    ("3", "false", "0", "'[]'", "true"),
+    ("0", "false", "0", "''", "false"),
+    None,
+    None,
+    None,
+    ("NULL", "false", "0", "''", "true"),
+    None,
+    ("0", "false", "0", "''", "true"),
+    ("12", "true", "0", "''", "true"),
+    None,
+    ("0", "true", "0", "''", "true"),
+    ("1", "false", "0", "''", "true"),
+    None,
+    ("2", "false", "0", "''", "true"),
+    None,
+    None,
+    None,
+]
+# Payload rules: broken ones as (mouse, keydown).
+BROKEN = [(1, 3), (3, 4), (2, 4), (3, 5), (3, 5), (3, 5), (3, 4), (3, 5), (3, 4), (3, 5), (3, 5), (3, 5), (2, 4), (3, 5),
+          (2, 4), (1, 3), (1, 3), (1, 3)]
+
+
+def _forms(name: str, columns: str, rows: list) -> str:
+    cells = ", ".join(f"({i}, {', '.join(r)})" for i, r in enumerate(rows) if r is not None)
+    return f"{name}(form, {columns}) AS (VALUES {cells})"
+
+
+def dirty_ctes() -> str:
+    """``mouse_all`` and ``keydown_all`` (lenient), ``mouse_loaded`` and
+    ``keydown_loaded`` (loader), ``dirty`` and ``broken``."""
+    every, n = DIRTY_EVERY, len(DIRTY_MESSAGES)
+    texts = [(str(len(m.encode()) - ("@" in m)), str("@" in m).lower()) for m in DIRTY_MESSAGES]
+    clean = f"event_id % {every} <> 0"
+    ident = "CASE WHEN has_id THEN event_id END"
+    ts = "CASE WHEN ms <= 253402300799999 THEN epoch_ms(least(ms, 253402300799999)) END"
+    lenient = f"""altKey, CAST(ms AS BIGINT) AS "timestamp", {ident} AS event_id, {ts} AS ts,
+    date_trunc('hour', {ts}) AS ts_hour FROM dirty JOIN lenient USING (form)"""
+    stamp = 'epoch_ms("timestamp") AS "timestamp"'
+    loaded = f"""altKey, false AS ctrlKey, false AS metaKey, false AS shiftKey, epoch_ms(ms) AS "timestamp",
+    CAST(0 AS BIGINT) AS user_id, coalesce({ident}, 0) AS event_id FROM dirty JOIN loader USING (form)"""
+    return f""",
+dirty AS (
+  SELECT event_id, event_id % 10 < 7 AS of_mouse, (event_id // {every}) % {n} AS form
+  FROM base WHERE event_id % {every} = 0),
+{_forms("texts", "size, has_id", texts)},
+{_forms("lenient", "clientX, altKey, ms, shape, has_id", LENIENT)},
+{_forms("loader", "clientX, altKey, ms, shape, has_id", LOADER)},
+{_forms("broken", "of_mouse_n, of_keydown_n", [(str(a), str(b)) for a, b in BROKEN])},
+mouse_all AS (
+  SELECT {MOUSE_COLS}, user_id, event_id, ts, ts_hour FROM mouse WHERE {clean}
+  UNION ALL BY NAME
+  SELECT shape, clientX, {lenient} WHERE of_mouse),
+keydown_all AS (
+  SELECT {KEYDOWN_COLS}, user_id, event_id, ts, ts_hour FROM keydown WHERE {clean}
+  UNION ALL BY NAME
+  SELECT {lenient} WHERE NOT of_mouse),
+mouse_loaded AS (
+  SELECT altKey, ctrlKey, metaKey, shiftKey, button, buttons, clientX, clientY, pageX, pageY, screenX, screenY, {stamp},
+         event_type, '' AS canvasId, canvasX, canvasY, movementX, movementY, isTrusted, coalesce(shape, '') AS shape,
+         user_id, event_id FROM mouse WHERE {clean}
+  UNION ALL BY NAME
+  SELECT 0 AS button, 0 AS buttons, clientX, 0 AS clientY, 0 AS pageX, 0 AS pageY, 0 AS screenX, 0 AS screenY,
+         '' AS event_type, '' AS canvasId, 0.0 AS canvasX, 0.0 AS canvasY, 0.0 AS movementX, 0.0 AS movementY,
+         false AS isTrusted, shape, {loaded} WHERE of_mouse AND clientX IS NOT NULL),
+keydown_loaded AS (
+  SELECT altKey, ctrlKey, metaKey, shiftKey, "key", code, {stamp}, "type", user_id, event_id FROM keydown WHERE {clean}
+  UNION ALL BY NAME
+  SELECT '' AS "key", '' AS code, '' AS "type", {loaded} WHERE NOT of_mouse),
+kept_aside AS (
+  SELECT CASE WHEN of_mouse THEN 'mouse' ELSE 'keydown' END AS kind FROM dirty LEFT JOIN loader USING (form)
+  WHERE has_id IS NULL OR (of_mouse AND clientX IS NULL))
+"""
+
+
+def both_kinds(of_mouse: str, of_keydown: str) -> str:
+    return f"SELECT 'mouse' AS kind, * FROM ({of_mouse}) UNION ALL BY NAME SELECT 'keydown' AS kind, * FROM ({of_keydown})"

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cursorlake.functions import payload as P
-from cursorlake.functions.decode import decode_strict, is_object, parsed
+from cursorlake.functions.decode import decode_strict, drop_unparsable
 from cursorlake.functions.shapes import TEST_SHAPES
 from cursorlake.functions.time import to_local_time
 from cursorlake.operators import reports
@@ -46,23 +46,28 @@ def _keydown(spark, sf_dir):
 
 @register("decode_lenient")
 def decode_lenient(spark, sf_dir):
-    """S3 + P3/P4: mouse messages decoded leniently, with event time."""
-    return flows.presentable(_mouse(spark, sf_dir))
+    """S3 + P3/P4: all messages, malformed ones among them, decoded leniently,
+    with event time."""
+    rows = flows.both_kinds(lambda k: flows.decoded(spark, sf_dir, k, dirty=True))
+    return flows.as_text(flows.presentable(rows))
 
 
 @register("decode_strict")
 def decode_strict_q(spark, sf_dir):
-    """Keydown messages decoded with FAILFAST (input is well formed)."""
-    msgs = flows.topic_messages(spark, sf_dir, "keydown")
-    return decode_strict(msgs, "keydown", extra=EXTRA_FIELDS)
+    """All messages decoded with FAILFAST (input is well formed)."""
+    return flows.as_text(flows.both_kinds(
+        lambda k: decode_strict(flows.topic_messages(spark, sf_dir, k), k, extra=EXTRA_FIELDS)))
 
 
 @register("drop_unparsable")
 def drop_unparsable_q(spark, sf_dir):
-    """messages in, JSON objects kept (every topic)."""
-    msgs = flows.messages(spark, sf_dir).select("value")
-    ok = is_object(parsed("value"), "value")
-    return msgs.agg(F.count(F.lit(1)).alias("n_messages"), F.count_if(ok).alias("n_objects"))
+    """messages in and JSON objects kept, per kind, malformed ones among
+    them."""
+    def counts(kind):
+        msgs = flows.topic_messages(spark, sf_dir, kind, dirty=True)
+        n = F.count(F.lit(1))
+        return msgs.agg(n.alias("n_messages")).crossJoin(drop_unparsable(msgs).agg(n.alias("n_objects")))  # 1 x 1 rows
+    return flows.both_kinds(counts)
 
 
 # --- P1..P12: projections and scalar functions --------------------------------
@@ -79,20 +84,22 @@ def project_keydown(spark, sf_dir):
     return project(flows.decoded(spark, sf_dir, "keydown", event_time=False), "keydown", "payload")
 
 
+def _stamps(spark, sf_dir):
+    """(event_id, timestamp, ts, ts_hour) of both kinds, read as two fields."""
+    rows = flows.both_kinds(lambda k: flows.decoded(spark, sf_dir, k, columns=("event_id", "timestamp"), dirty=True))
+    return flows.as_text(flows.presentable(rows.drop("kind")))
+
+
 @register("epoch_ms_to_ts")
 def epoch_ms_to_ts(spark, sf_dir):
-    """Epoch ms -> event time, for both kinds."""
-    rows = _mouse(spark, sf_dir).select("event_id", "timestamp", "ts").unionByName(
-        _keydown(spark, sf_dir).select("event_id", "timestamp", "ts"))
-    return flows.presentable(rows)
+    """Epoch ms -> event time, for both kinds; NULL for other stamps."""
+    return _stamps(spark, sf_dir).select("event_id", "timestamp", "ts")
 
 
 @register("floor_hour")
 def floor_hour(spark, sf_dir):
     """Hour partition key per event."""
-    rows = _mouse(spark, sf_dir).select("event_id", "ts_hour").unionByName(
-        _keydown(spark, sf_dir).select("event_id", "ts_hour"))
-    return flows.presentable(rows)
+    return _stamps(spark, sf_dir).select("event_id", "ts_hour")
 
 
 @register("to_local_time")
@@ -104,7 +111,7 @@ def to_local_time_q(spark, sf_dir):
 @register("nested_to_json_text")
 def nested_to_json_text(spark, sf_dir):
     """The nested ``shape`` object arrives as JSON text (key order kept)."""
-    return _mouse(spark, sf_dir).select("event_id", "shape")
+    return flows.decoded(spark, sf_dir, "mouse", False, columns=("event_id", "shape"))
 
 
 @register("event_kind_of_topic")
@@ -117,7 +124,7 @@ def event_kind_of_topic(spark, sf_dir):
 @register("shape_summary")
 def shape_summary(spark, sf_dir):
     """P10: the decoded shape summary's fields (NULL when no hit)."""
-    m = _mouse(spark, sf_dir)
+    m = flows.decoded(spark, sf_dir, "mouse", False, columns=("event_id", "shape"))
     return m.select("event_id", *[F.get_json_object("shape", f"$.{k}").alias(f"shape_{k}")
                                   for k in ("id", "type", "label", "color")])
 
@@ -130,9 +137,9 @@ def payload_json(spark, sf_dir):
 
 @register("payload_bytes")
 def payload_bytes(spark, sf_dir):
-    """UTF-8 size of each keydown payload's JSON text."""
-    msgs = flows.topic_messages(spark, sf_dir, "keydown")
-    return msgs.select(P.payload_bytes(F.col("value")).alias("n_bytes"))
+    """UTF-8 size of each payload's JSON text, malformed ones among them."""
+    return flows.both_kinds(lambda k: flows.topic_messages(spark, sf_dir, k, dirty=True).select(
+        P.payload_bytes(F.col("value")).alias("n_bytes")))
 
 
 # --- K1 / K2: routing and acknowledgement ------------------------------------
@@ -147,7 +154,7 @@ def route_to_topic(spark, sf_dir):
 def ack_records(spark, sf_dir):
     """K2: acknowledgement per accepted payload."""
     acks = P.ack_records(flows.messages(spark, sf_dir), keep=("event_id",))
-    return acks.select("event_id", "status", "type", "topic")
+    return acks.select("event_id", "status", "type", "topic", "received")
 
 
 # --- J1 / J2 / F3: hit testing -------------------------------------------------
@@ -210,8 +217,10 @@ def newest_n(spark, sf_dir):
 
 @register("sample_rows")
 def sample_rows(spark, sf_dir):
-    """O3: LIMIT 5, no order (rows-only check)."""
-    return flows.presentable(reports.sample_rows(_mouse(spark, sf_dir), 5))
+    """O3: LIMIT 5, no order: how many rows came and how many are events."""
+    some = reports.sample_rows(_mouse(spark, sf_dir), 5)
+    known = flows.messages(spark, sf_dir).select("event_id").withColumn("known", F.lit(1))
+    return some.join(known, "event_id", "left").agg(F.count(F.lit(1)).alias("n"), F.count("known").alias("n_events"))
 
 
 # --- W5: active shape (batch form) --------------------------------------------

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cursorlake.plans.oracle import KEYDOWN_COLS, MOUSE_COLS, with_ctes
+from cursorlake.plans.oracle import KEYDOWN_COLS, MOUSE_COLS, both_kinds, dirty_ctes, with_ctes
 
 ORACLE: dict[str, str] = {}
 
@@ -11,17 +11,26 @@ def _register(name: str, body: str, order: str = "last") -> None:
     ORACLE[name] = with_ctes(body.strip(), order)
 
 
+def _register_dirty(name: str, body: str, text: bool = True) -> None:
+    """Over messages with malformed ones among them; every column as text."""
+    _register(name, dirty_ctes() + (f"SELECT COLUMNS(*)::VARCHAR FROM ({body})" if text else body))
+
+
 # S3 / S4 / F1
-_register("decode_lenient", f"SELECT {MOUSE_COLS}, user_id, event_id, ts, ts_hour FROM mouse")
-_register("decode_strict", f"SELECT {KEYDOWN_COLS}, user_id, event_id FROM keydown")
-_register("drop_unparsable", "SELECT count(*) AS n_messages, count(*) AS n_objects FROM base")
+_register_dirty("decode_lenient", both_kinds("SELECT * FROM mouse_all", "SELECT * FROM keydown_all"))
+_register_dirty("decode_strict", both_kinds(f"SELECT {MOUSE_COLS}, user_id, event_id FROM mouse",
+                                            f"SELECT {KEYDOWN_COLS}, user_id, event_id FROM keydown"))
+_register_dirty("drop_unparsable", """
+SELECT CASE WHEN b.event_id % 10 < 7 THEN 'mouse' ELSE 'keydown' END AS kind, count(*) AS n_messages,
+       count(*) - count(CASE WHEN d.form IN (3, 4, 5, 10) THEN 1 END) AS n_objects
+FROM base b LEFT JOIN dirty d USING (event_id) GROUP BY 1""", text=False)
 
 # P1..P12
 _register("project_mouse", f"SELECT {MOUSE_COLS} FROM mouse")
 _register("project_keydown", f"SELECT {KEYDOWN_COLS} FROM keydown")
-_register("epoch_ms_to_ts", 'SELECT event_id, "timestamp", ts FROM mouse '
-                            'UNION ALL SELECT event_id, "timestamp", ts FROM keydown')
-_register("floor_hour", "SELECT event_id, ts_hour FROM mouse UNION ALL SELECT event_id, ts_hour FROM keydown")
+_register_dirty("epoch_ms_to_ts", 'SELECT event_id, "timestamp", ts FROM mouse_all '
+                                  'UNION ALL SELECT event_id, "timestamp", ts FROM keydown_all')
+_register_dirty("floor_hour", "SELECT event_id, ts_hour FROM mouse_all UNION ALL SELECT event_id, ts_hour FROM keydown_all")
 _register("to_local_time", """
 SELECT altKey, ctrlKey, metaKey, shiftKey, "key", code,
        epoch_ms("timestamp") + INTERVAL 9 HOUR AS "timestamp", "type", user_id, event_id,
@@ -36,23 +45,11 @@ FROM base""")
 _register("shape_summary", """
 SELECT m.event_id, m.shape_id AS shape_id, s.kind AS shape_type, s.label AS shape_label, s.color AS shape_color
 FROM mouse m LEFT JOIN shapes s ON s.id = m.shape_id""")
-_register("payload_bytes", """
-SELECT octet_length(to_json(struct_pack(
-  stream := 'keydown', "key" := "key", code := code, altKey := altKey, ctrlKey := ctrlKey,
-  shiftKey := shiftKey, metaKey := metaKey, "timestamp" := "timestamp", "type" := "type",
-  user_id := user_id, event_id := event_id))::VARCHAR::BLOB) AS n_bytes
-FROM keydown""")
-
 # K1 / K2
 _register("route_to_topic", """
 SELECT event_id, CASE WHEN event_id % 10 < 7 THEN 'mouse_events' ELSE 'keydown_events' END AS topic,
        CAST(NULL AS VARCHAR) AS "key"
 FROM base""")
-_register("ack_records", """
-SELECT event_id, 'queued' AS status,
-       CASE WHEN event_id % 10 < 7 THEN 'mouse' ELSE 'keydown' END AS "type",
-       CASE WHEN event_id % 10 < 7 THEN 'mouse_events' ELSE 'keydown_events' END AS topic
-FROM base""")
 
 # J1 / J2 / F3
 _register("hit_test", "SELECT event_id, canvasX, canvasY, shape_id FROM mouse")
@@ -124,21 +121,26 @@ SELECT altKey, ctrlKey, metaKey, shiftKey, button, buttons, clientX, clientY, pa
        screenX, screenY, epoch_ms("timestamp") AS "timestamp", event_type, '' AS canvasId,
        canvasX, canvasY, movementX, movementY, isTrusted, coalesce(shape, '') AS shape,
        user_id, event_id"""
-_register("coerce_defaults", _LOADER_MOUSE + ", 'ok' AS status, 0 AS n_reasons FROM mouse")
-_register("enforce_non_null", """
-SELECT altKey, ctrlKey, metaKey, shiftKey, "key", code, epoch_ms("timestamp") AS "timestamp", "type",
-       user_id, event_id FROM keydown""")
+_OK = "SELECT *, 'ok' AS status, 0 AS n_reasons FROM "
+_register_dirty("coerce_defaults", both_kinds(_OK + "mouse_loaded", _OK + "keydown_loaded") + """
+UNION ALL BY NAME SELECT kind, 'quarantine' AS status, 1 AS n_reasons FROM kept_aside""")
+_register_dirty("enforce_non_null", both_kinds("SELECT * FROM mouse_loaded", "SELECT * FROM keydown_loaded"))
 _register("append_microbatch", _LOADER_MOUSE + " FROM mouse")
 
 ORACLE["active_shape_stream"] = ORACLE["active_shape"]
 
 # P13
-_register("validate_payload", """
-SELECT altKey, ctrlKey, metaKey, shiftKey, "timestamp", "type", "key", code,
-       'keydown' AS event_type, 'valid' AS status, 0 AS n_reasons FROM keydown""")
+_register_dirty("validate_payload", both_kinds(
+    """SELECT altKey, ctrlKey, metaKey, shiftKey, "timestamp", event_type AS "type", 'valid' AS status, 0 AS n_reasons
+    FROM mouse WHERE event_id NOT IN (SELECT event_id FROM dirty)""",
+    """SELECT altKey, ctrlKey, metaKey, shiftKey, "timestamp", "type", "key", code, 'keydown' AS event_type,
+    'valid' AS status, 0 AS n_reasons FROM keydown WHERE event_id NOT IN (SELECT event_id FROM dirty)""") + """
+UNION ALL BY NAME
+SELECT CASE WHEN of_mouse THEN 'mouse' ELSE 'keydown' END AS kind, 'rejected' AS status,
+       CASE WHEN of_mouse THEN of_mouse_n ELSE of_keydown_n END AS n_reasons FROM dirty JOIN broken USING (form)""")
 
 # The same compact JSON text (field order as the page sends it)
-_register("payload_json", """
+_JSON = """
 SELECT event_id, to_json(struct_pack(
   shape := shape_obj, stream := 'mouse', event_type := event_type, canvasX := canvasX, canvasY := canvasY,
   clientX := clientX, clientY := clientY, pageX := pageX, pageY := pageY, screenX := screenX,
@@ -151,4 +153,28 @@ SELECT event_id, to_json(struct_pack(
   stream := 'keydown', "key" := "key", code := code, altKey := altKey, ctrlKey := ctrlKey,
   shiftKey := shiftKey, metaKey := metaKey, "timestamp" := "timestamp", "type" := "type",
   user_id := user_id, event_id := event_id))::VARCHAR AS value
-FROM keydown""")
+FROM keydown"""
+_register("payload_json", _JSON)
+
+# The size of that text, or of the malformed one
+_register_dirty("payload_bytes", f""", json_text AS ({_JSON})
+SELECT CASE WHEN event_id % 10 < 7 THEN 'mouse' ELSE 'keydown' END AS kind, octet_length(value::BLOB) AS n_bytes
+FROM json_text WHERE event_id NOT IN (SELECT event_id FROM dirty)
+UNION ALL
+SELECT CASE WHEN of_mouse THEN 'mouse' ELSE 'keydown' END AS kind,
+       size + CASE WHEN has_id THEN length(CAST(event_id AS VARCHAR)) ELSE 0 END AS n_bytes
+FROM dirty JOIN texts USING (form)""", text=False)
+
+# K2: the acknowledgement carries the payload
+_register("ack_records", f""", json_text AS ({_JSON})
+SELECT event_id, 'queued' AS status,
+       CASE WHEN event_id % 10 < 7 THEN 'mouse' ELSE 'keydown' END AS "type",
+       CASE WHEN event_id % 10 < 7 THEN 'mouse_events' ELSE 'keydown_events' END AS topic, value AS received
+FROM json_text""")
+
+# What holds whatever rows and files there are
+_register("sample_rows", "SELECT least(5, count(*)) AS n, least(5, count(*)) AS n_events FROM mouse")
+_register("scan_parquet_file", "SELECT least(1, count(*)) AS n, least(1, count(*)) AS n_events FROM keydown")
+_register("latest_file", "SELECT least(1, count(*)) AS n, least(1, count(*)) AS n_known FROM mouse")
+_register("table_files", "SELECT ts_hour, count(*) AS n, true AS has_bytes FROM mouse GROUP BY ts_hour")
+_register("file_name_filter", "SELECT 'data' AS kind, count(*) AS n FROM mouse HAVING count(*) > 0")

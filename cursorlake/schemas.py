@@ -71,7 +71,3 @@ def schema_for_kind(kind: str, family: str = "sink",
 def table_name(kind: str) -> str:
     return f"{kind}_events"
 
-
-def kind_of_topic(topic: str) -> str:
-    """Plain-Python twin of P9 for driver-side wiring (topic -> kind)."""
-    return topic.replace("_events", "")

@@ -38,18 +38,11 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the cluster has
-    cores (one small file, one row group); a large scan is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
-def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The columns of ``events`` that payloads use (pruned at the scan)."""
-    return spread(load_table(spark, sf_dir, "events").select(*EVENT_COLUMNS))
+def load_events(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    """The columns of ``events`` that payloads use (pruned at the scan).
+    ``partitions`` deals the rows out evenly, for a file that cannot be split."""
+    events = load_table(spark, sf_dir, "events").select(*EVENT_COLUMNS)
+    return events.repartition(partitions) if partitions else events
 
 
 def _pick(items: list[str], idx: Column) -> Column:
@@ -107,19 +100,42 @@ def _struct(cols: dict[str, Column], eid: Column, uid: Column) -> Column:
     return F.struct(*[c.alias(n) for n, c in cols.items()], uid.alias("user_id"), eid.alias("event_id"))
 
 
-def mouse_payloads(events: DataFrame, shapes=TEST_SHAPES) -> DataFrame:
-    """Mouse payloads as columns (the page's object, flattened)."""
-    eid, uid = F.col("event_id"), F.col("user_id")
-    cols = mouse_columns(eid, F.col("ts"), shapes)
-    return events.where(is_mouse(eid)).select(*[c.alias(n) for n, c in cols.items()],
-                                              uid.alias("user_id"), eid.alias("event_id"))
-
-
-def keydown_payloads(events: DataFrame) -> DataFrame:
-    eid, uid = F.col("event_id"), F.col("user_id")
-    cols = keydown_columns(eid, F.col("ts"))
-    return events.where(~is_mouse(eid)).select(*[c.alias(n) for n, c in cols.items()],
-                                               uid.alias("user_id"), eid.alias("event_id"))
+# Messages as producers really send them: one event in DIRTY_EVERY is replaced
+# by the next of these texts, with its id in place of @.
+DIRTY_EVERY = 97
+DIRTY_MESSAGES = (
+    '{"clientX":"12","altKey":"false","timestamp":"1704067200123","shape":null,"event_id":@}',
+    '{"clientX":3.9,"altKey":0,"timestamp":"x","shape":[],"event_id":@}',
+    '{}',
+    'not json',
+    '',
+    '[1]',
+    '{"clientX":99999999999,"canvasX":"","altKey":null,"event_id":@}',
+    '{"clientX":1,"event_id":@} x',
+    '{"clientX":"3.9","event_id":@}',
+    '{"clientX":" 12 ","altKey":{},"event_id":@}',
+    '{"clientX":NaN,"event_id":@}',
+    '{"altKey":"abc","event_id":@}',
+    '{"clientX":1,"event_id":@}\n',
+    '{"clientX":1,"event_id":@} {"clientX":2}',
+    '{"clientX":1,"clientX":2,"event_id":@}',
+    '{"timestamp":1704067200123456789,"event_id":@}',
+    '{"timestamp":1704067200123456,"event_id":@}',
+    '{"timestamp":9223372036854775807,"event_id":@}',
+)
+
+
+def is_dirty(eid: Column) -> Column:
+    return eid % DIRTY_EVERY == 0
+
+
+def with_dirty(messages: DataFrame) -> DataFrame:
+    """``messages`` (event_id, value) with every DIRTY_EVERY-th text replaced."""
+    eid = F.col("event_id")
+    form = F.element_at(F.array(*[F.lit(m) for m in DIRTY_MESSAGES]),
+                        (F.floor(eid / DIRTY_EVERY) % len(DIRTY_MESSAGES) + 1).cast("int"))
+    text = F.replace(form, F.lit("@"), eid.cast("string"))
+    return messages.withColumn("value", F.when(is_dirty(eid), text).otherwise(F.col("value")))
 
 
 @cached_columns

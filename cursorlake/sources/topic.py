@@ -19,6 +19,11 @@ FETCH_OPTIONS = {
 }
 
 
+# An upper bound for one micro-batch, so that a long backlog is read in steps.
+MAX_ROWS = 10_000_000
+MAX_FILES = 10_000
+
+
 def source_options(group_id: str | None = None, extra: dict[str, str] | None = None) -> dict[str, str]:
     """The Kafka source options (fetch tuning, consumer group)."""
     opts = dict(FETCH_OPTIONS)
@@ -28,32 +33,38 @@ def source_options(group_id: str | None = None, extra: dict[str, str] | None = N
     return opts
 
 
+def kafka_options(topic: str, servers: str, starting: str = "earliest", group_id: str | None = None,
+                  min_rows: int | None = None, max_delay: str | None = None, max_rows: int = MAX_ROWS,
+                  extra: dict[str, str] | None = None) -> dict[str, str]:
+    """Every option of the Kafka reader. A batch starts as soon as ``min_rows``
+    wait or ``max_delay`` has passed, and never exceeds ``max_rows``."""
+    opts = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting,
+            "maxOffsetsPerTrigger": str(max_rows), **source_options(group_id, extra)}
+    if min_rows is not None:
+        opts["minOffsetsPerTrigger"] = str(min_rows)
+    if max_delay is not None:
+        opts["maxTriggerDelay"] = max_delay
+    return opts
+
+
 def topic_path(root: str, topic: str) -> str:
     return f"{root.rstrip('/')}/topic={topic}"
 
 
 def read_topic(spark: SparkSession, topic: str, fmt: str = "text", root: str | None = None,
-               starting: str = "earliest", servers: str | None = None,
-               max_per_trigger: int | None = None, options: dict[str, str] | None = None) -> DataFrame:
+               starting: str = "earliest", servers: str | None = None, group_id: str | None = None,
+               min_rows: int | None = None, max_delay: str | None = None, max_rows: int = MAX_ROWS,
+               max_files: int = MAX_FILES, options: dict[str, str] | None = None) -> DataFrame:
     """The topic's messages as a streaming DataFrame with one ``value``
-    string column. ``starting`` (earliest / latest) applies to Kafka; a file
-    topic always starts from its first file. ``max_per_trigger`` bounds a
-    micro-batch (offsets for Kafka, files for the test double)."""
+    string column. The row bounds apply to Kafka, ``max_files`` to the test
+    double, which always starts from its first file."""
     if fmt == "kafka":
-        reader = (spark.readStream.format("kafka")
-                  .option("kafka.bootstrap.servers", servers)
-                  .option("subscribe", topic)
-                  .option("startingOffsets", starting))
-        for k, v in source_options(extra=options).items():
-            reader = reader.option(k, v)
-        if max_per_trigger:
-            reader = reader.option("maxOffsetsPerTrigger", str(max_per_trigger))
+        reader = spark.readStream.format("kafka").options(**kafka_options(
+            topic, servers, starting, group_id, min_rows, max_delay, max_rows, options))
         return reader.load().selectExpr("CAST(value AS STRING) AS value")
     if root is None:
         raise ValueError("a file topic needs its root folder")
-    reader = spark.readStream.format("text")
-    if max_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_per_trigger))
-    for k, v in (options or {}).items():
-        reader = reader.option(k, v)
+    if starting != "earliest":
+        raise ValueError("a file topic starts from its first file")
+    reader = spark.readStream.format("text").option("maxFilesPerTrigger", str(max_files)).options(**(options or {}))
     return reader.load(topic_path(root, topic))

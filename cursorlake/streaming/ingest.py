@@ -7,13 +7,17 @@ sink's commit log give exactly-once output: a restarted query resumes after
 the last committed batch, and a batch that is replayed after a failure
 overwrites nothing and adds nothing twice.
 
+A stream may start in a new process: its checkpoint belongs to the table. If the
+table's log is ahead of it, the start fails rather than skip rows.
+
 Distribution: a live query writes straight from the source partitions,
 with no shuffle. A hash shuffle by ``ts_hour`` (the streaming job's
 setting) would send the live hour -- nearly every row of a micro-batch --
 to one task; without it every task writes its own file for the hours it
 holds. A catch-up run (``available_now``) holds many hours per batch and is
 range-partitioned by time first (``cluster_by_time``) so that files stay
-few and large. ``rows_per_file`` caps file size (128 MB at ~400 B per row).
+few and large; the topic bounds its batches (``max_rows`` or ``max_files``).
+``rows_per_file`` caps file size (128 MB at ~400 B per row).
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ from __future__ import annotations
 import logging
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cursorlake.functions.decode import decode_lenient
@@ -46,12 +51,14 @@ def ingest_frame(source: DataFrame, kind: str, extra=None, watermark: str = WATE
 
 
 def cluster_by_time(rows: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Range-partition a catch-up batch by (ts_hour, timestamp): a long
-    backlog is cut into ``partitions`` contiguous time slices, so each task
+    """Range-partition a catch-up batch of raw messages by their time stamp: a
+    long backlog is cut into ``partitions`` contiguous time slices, so each task
     writes a few hours (not every task every hour) and a hot hour is still
-    split over several tasks. Live micro-batches skip this (no shuffle)."""
+    split over several tasks. The messages are moved before they are decoded:
+    finding the ranges reads one field, and decoding happens once. Live
+    micro-batches skip this (no shuffle)."""
     n = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartitionByRange(n, "ts_hour", "timestamp")
+    return rows.repartitionByRange(n, F.get_json_object("value", "$.timestamp").try_cast("bigint"))
 
 
 def start_ingest(lake: Lakehouse, kind: str, source: DataFrame, extra=None,
@@ -60,12 +67,12 @@ def start_ingest(lake: Lakehouse, kind: str, source: DataFrame, extra=None,
                  watermark: str = WATERMARK_DELAY) -> StreamingQuery:
     """K3/K4 + W2: start the ingest of one kind into ``lake``'s table."""
     lake.create_if_absent(kind, "sink", extra)
-    rows = ingest_frame(source, kind, extra, watermark)
-    if available_now:
-        rows = cluster_by_time(rows)
-    writer = (rows.writeStream.format("parquet")
+    checkpoint = lake.checkpoint("ingest", kind)
+    lake.check_writable(kind, checkpoint)
+    rows = ingest_frame(cluster_by_time(source) if available_now else source, kind, extra, watermark)
+    writer = (rows.writeStream.format(lake.fmt)
               .partitionBy("ts_hour")
-              .option("checkpointLocation", lake.checkpoint(f"ingest_{kind}"))
+              .option("checkpointLocation", checkpoint)
               .option("compression", "zstd")
               .outputMode("append"))
     if rows_per_file:
@@ -78,26 +85,32 @@ def start_ingest(lake: Lakehouse, kind: str, source: DataFrame, extra=None,
 
 def ingest_topics(lake: Lakehouse, kinds=("mouse", "keydown"), fmt: str = "text",
                   topic_root: str | None = None, servers: str | None = None, extra=None,
-                  available_now: bool = False, require_table: bool = False,
-                  max_per_trigger: int | None = None) -> dict[str, StreamingQuery]:
+                  available_now: bool = False, require_table: bool = False, **source) -> dict[str, StreamingQuery]:
     """One independent query per topic. With ``require_table`` a kind
-    whose table is absent is skipped with a warning (K10)."""
-    spark = lake.spark
+    whose table is absent is skipped with a warning (K10). ``source`` goes to
+    ``read_topic``."""
     queries = {}
     for kind in kinds:
         if require_table and not lake.exists(kind):
             log.warning("table %s does not exist; topic %s skipped", lake.name(kind), table_name(kind))
             continue
-        src = read_topic(spark, table_name(kind), fmt, root=topic_root, servers=servers,
-                         max_per_trigger=max_per_trigger)
-        queries[kind] = start_ingest(lake, kind, src, extra, available_now=available_now,
-                                     query_name=None)
+        src = read_topic(lake.spark, table_name(kind), fmt, root=topic_root, servers=servers, **source)
+        queries[kind] = start_ingest(lake, kind, src, extra, available_now=available_now)
     return queries
 
 
-def await_all(queries: dict[str, StreamingQuery] | list[StreamingQuery]) -> None:
-    """Wait for every query (available-now runs end by themselves)."""
-    for q in (queries.values() if isinstance(queries, dict) else queries):
-        q.awaitTermination()
-        if q.exception():
-            raise q.exception()
+def await_all(queries: dict[str, StreamingQuery] | list[StreamingQuery], poll_seconds: float = 1.0) -> None:
+    """Wait until every query has ended; if one fails, stop the others and
+    raise its error (available-now runs end by themselves)."""
+    waiting = list(queries.values() if isinstance(queries, dict) else queries)
+    while waiting:
+        for q in list(waiting):
+            try:
+                ended = q.awaitTermination(poll_seconds)
+            except Exception:
+                for other in waiting:
+                    if other.isActive:
+                        other.stop()
+                raise
+            if ended:
+                waiting.remove(q)
