@@ -16,12 +16,12 @@ similarity is at least 0.8; classes are the connected components of the links.
 * Equal texts are one node of the graph, so copies cost one row each. In a bucket
   of up to ``SMALL`` texts all pairs are compared. In a larger one every text is
   compared with the leader, the one that shares the most buckets with others (the
-  original among its near copies). As long as this finds new links, large buckets
-  that still hold several classes are gone through again: if all but ``FEW`` of
-  their texts are of one class, those few are compared with all; else the bucket
-  is dealt again by each other band, parts of up to ``FEW`` texts are compared in
-  full, and the larger ones with their few, or else another leader. Rows stay in
-  proportion to bucket sizes.
+  original among its near copies). Large buckets that then still hold several
+  classes are gone through again, ``TURNS`` times or until no new link is found: if
+  all but ``FEW`` of their texts are of one class, those few are compared with all;
+  else the bucket is dealt again by each other band, and its parts are compared in
+  the same way, or, where more than a few texts are of other classes, with
+  ``LEADERS`` further leaders. Rows stay in proportion to bucket sizes.
 * Candidate pairs that agree in fewer than half of the samples are put aside (a
   pair of similarity 0.8 does with probability 0.0001); the others are verified on
   their whole texts.
@@ -48,9 +48,10 @@ THRESHOLD = 0.8
 BANDS, ROWS = 10, 3
 COMMON = 0.002
 SMALL = 8
-FEW = 16
+FEW = 8
 ESTIMATE = 0.5
-TURNS = 8
+LEADERS = 3
+TURNS = 2
 RUN_BYTES = 8 << 20
 BLOCK = 1 << 16
 NO_WORDS = r"[^\p{L}\p{N}]+"
@@ -334,15 +335,18 @@ def first_pairs(buckets: DataFrame) -> DataFrame:
 
 def _mixed(rows: DataFrame, turn: int) -> DataFrame:
     """Rows (key, node, root, degree) of the keys that hold several classes, with
-    the number of texts, the largest class (``main``), how many texts are not of
-    it (``others``) and a leader."""
-    parts = rows.groupBy("key", "root").agg(F.count("*").alias("part"), F.expr(
-        f"min_by(node, {'struct(-degree, node)' if turn % 2 == 0 else f'xxhash64(node, {turn})'})").alias("first"))
+    the largest class (``main``), how many texts are not of it (``others``) and
+    the leaders of this turn, each from another class if there are as many."""
+    order = ["struct(-degree, node)"] + [f"xxhash64(node, {turn}, {i})" for i in range(1, LEADERS)]
+    parts = rows.groupBy("key", "root").agg(F.count("*").alias("part"), *[
+        F.expr(f"min_by(node, {o})").alias(f"node{i}") for i, o in enumerate(order)])
+    leaders = [F.expr(f"min_by(struct(node{i} AS node, root), {f'xxhash64(root, {turn}, {i})' if i or turn else '-part'})")
+               for i in range(LEADERS)]
     some = parts.groupBy("key").agg(F.sum("part").alias("n"), F.count("*").alias("classes"),
                                     F.expr("max_by(struct(root, part), struct(part, -root))").alias("main"),
-                                    F.expr(f"min_by(struct(first AS node, root), xxhash64(first, {turn}))").alias("leader"))
-    some = some.where("classes > 1").select("key", "n", F.col("main.root").alias("main"),
-                                            (F.col("n") - F.col("main.part")).alias("others"), "leader")
+                                    *[x.alias(f"leader{i}") for i, x in enumerate(leaders)])
+    some = some.where("classes > 1").select("key", F.col("main.root").alias("main"), (F.col("n") - F.col("main.part")).alias("others"),
+                                            F.array(*[f"leader{i}" for i in range(LEADERS)]).alias("leaders"))
     return rows.join(some, "key")
 
 
@@ -364,8 +368,8 @@ def next_pairs(buckets: DataFrame, nodes: DataFrame, roots: DataFrame, turn: int
         .join(nodes.select("node", "bands"), "node").withColumn("band", F.explode("bands")).where("band <> key")
     deep = deep.select(F.xxhash64(F.least("key", "band"), F.greatest("key", "band")).alias("key"), "node", "root", "degree")
     again = staged(_mixed(deep.distinct(), turn), "near-deep")
-    star = again.where((F.col("others") > FEW) & (F.col("root") != F.col("leader.root"))).select(
-        F.col("leader.node").alias("a"), F.col("node").alias("b"))
+    star = again.where(F.col("others") > FEW).select("node", "root", F.explode("leaders").alias("leader")) \
+        .where("root <> leader.root").select(F.col("leader.node").alias("a"), F.col("node").alias("b"))
     return _across(open_).union(_across(again)).union(star)
 
 
@@ -390,10 +394,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             break
         found = staged(verified(more, texts, weights, threshold), "near-links")
         pairs, links = pairs.union(more), links.union(found)
-        if not found.isEmpty():
-            roots = components(links)
-        elif turn:  # two kinds of leaders found nothing
+        if found.isEmpty():
             break
+        roots = components(links)
     return rows.join(roots, "node", "left").select("doc_id", "key", F.coalesce("root", "node").alias("class_node"))
 
 
