@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cursorlake.llm import decontaminate, mixing, near_dup, quality, token_ids
-from cursorlake.llm.common import held_out, staged, table
+from cursorlake.llm.common import drop_staged, held_out, staged, table, written
 from cursorlake.llm.queries import END_ID, MIX_TARGETS, tokenizer_path
 
 
@@ -59,5 +59,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the result of the last one."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
+        before = written()
         docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        drop_staged(spark, before)  # the stage's own steps are in its result now
     return docs

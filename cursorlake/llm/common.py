@@ -32,9 +32,28 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     path = work_dir(df.sparkSession, name)
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_written: list[str] = []
+
+
+def written() -> int:
+    """How many tables :func:`staged` has written so far."""
+    return len(_written)
+
+
+def drop_staged(spark: SparkSession, since: int, keep: int = 1) -> None:
+    """Delete the tables staged since that many, but the last ``keep``: what a
+    finished step has left behind. DataFrames that read them become invalid."""
+    last = len(_written) - keep
+    for path in _written[since:last]:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    del _written[since:last]
+
+
 def unit_hash(*cols: Column) -> Column:
     """A deterministic number in [0, 1) per row, from the row's own values."""
     return F.shiftrightunsigned(F.xxhash64(*cols), 11) / F.lit(float(1 << 53))
