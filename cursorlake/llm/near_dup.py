@@ -50,7 +50,7 @@ COMMON = 0.002
 SMALL = 8
 FEW = 8
 ESTIMATE = 0.5
-LEADERS = 3
+LEADERS = 2
 TURNS = 2
 RUN_BYTES = 8 << 20
 BLOCK = 1 << 16
