@@ -368,8 +368,9 @@ def next_pairs(buckets: DataFrame, nodes: DataFrame, roots: DataFrame, turn: int
         .join(nodes.select("node", "bands"), "node").withColumn("band", F.explode("bands")).where("band <> key")
     deep = deep.select(F.xxhash64(F.least("key", "band"), F.greatest("key", "band")).alias("key"), "node", "root", "degree")
     again = staged(_mixed(deep.distinct(), turn), "near-deep")
-    star = again.where(F.col("others") > FEW).select("node", "root", F.explode("leaders").alias("leader")) \
-        .where("root <> leader.root").select(F.col("leader.node").alias("a"), F.col("node").alias("b"))
+    foreign = F.filter("leaders", lambda leader: leader["root"] != F.col("root"))
+    star = again.where(F.col("others") > FEW).select("node", F.explode(foreign).alias("leader")) \
+        .select(F.col("leader.node").alias("a"), F.col("node").alias("b"))
     return _across(open_).union(_across(again)).union(star)
 
 
