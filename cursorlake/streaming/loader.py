@@ -26,6 +26,7 @@ from cursorlake.functions.time import floor_hour
 from cursorlake.schemas import schema_for_kind, table_name
 from cursorlake.sinks.tables import Lakehouse
 from cursorlake.sources.topic import MAX_ROWS, read_topic
+from cursorlake.streaming.ingest import cluster_by_time
 
 log = logging.getLogger(__name__)
 
@@ -70,7 +71,8 @@ def start_loader(lake: Lakehouse, kind: str, source: DataFrame, extra=None,
     lake.create_if_absent(kind, "loader", extra)
     checkpoint = lake.checkpoint("loader", kind)
     lake.check_writable(kind, checkpoint)
-    writer = (table_rows(source, kind, extra).writeStream.format(lake.fmt)
+    rows = table_rows(cluster_by_time(source) if available_now else source, kind, extra)
+    writer = (rows.writeStream.format(lake.fmt)
               .partitionBy("status", "ts_hour")
               .option("checkpointLocation", checkpoint).option("compression", "zstd").outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
