@@ -25,13 +25,13 @@ TEXTS = SF_MID + "/documents.parquet"
 # --- 1: decontamination -------------------------------------------------------
 
 def _least_distance(pattern, text):
-    row = [0] * (len(text) + 1)
+    """Row by row, with the running minimum for insertions."""
+    t, at = np.array(list(text), "U1"), np.arange(len(text) + 1)
+    row = np.zeros(len(t) + 1, int)
     for i, c in enumerate(pattern, 1):
-        new = [i]
-        for j, e in enumerate(text, 1):
-            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (c != e)))
-        row = new
-    return min(row)
+        new = np.concatenate([[i], np.minimum(row[1:] + 1, row[:-1] + (t != c))])
+        row = np.minimum.accumulate(new - at) + at
+    return int(row.min())
 
 
 def test_edit_search_is_exact():
