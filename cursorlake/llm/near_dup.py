@@ -15,13 +15,11 @@ similarity is at least 0.8; classes are the connected components of the links.
   similarity 0.8 meet with probability 0.9992.
 * Equal texts are one node of the graph, so copies cost one row each. In a bucket
   of up to ``SMALL`` texts all pairs are compared. In a larger one every text is
-  compared with the leader, the one that shares the most buckets with others (the
-  original among its near copies). Large buckets that then still hold several
-  classes are gone through again, ``TURNS`` times or until no new link is found: if
-  all but ``FEW`` of their texts are of one class, those few are compared with all;
-  else the bucket is dealt again by each other band, and its parts are compared in
-  the same way, or, where more than a few texts are of other classes, with
-  ``LEADERS`` further leaders. Rows stay in proportion to bucket sizes.
+  first compared with the leader, the one that shares the most buckets with others
+  (the original among its near copies). Then all pairs of different classes in it
+  are compared: its texts outside the largest class with all its texts, in blocks
+  of about ``BLOCK_TEXTS``. A task holds two blocks and returns only links between
+  classes that it has not joined yet, so no row stands for a pair.
 * Candidate pairs that agree in fewer than half of the samples are put aside (a
   pair of similarity 0.8 does with probability 0.0001); the others are verified on
   their whole texts.
@@ -48,10 +46,8 @@ THRESHOLD = 0.8
 BANDS, ROWS = 10, 3
 COMMON = 0.002
 SMALL = 8
-FEW = 8
 ESTIMATE = 0.5
-LEADERS = 2
-TURNS = 2
+BLOCK_TEXTS = 128
 RUN_BYTES = 8 << 20
 BLOCK = 1 << 16
 NO_WORDS = r"[^\p{L}\p{N}]+"
@@ -333,45 +329,86 @@ def first_pairs(buckets: DataFrame) -> DataFrame:
     return star.union(rest)
 
 
-def _mixed(rows: DataFrame, turn: int) -> DataFrame:
-    """Rows (key, node, root, degree) of the keys that hold several classes, with
-    the largest class (``main``), how many texts are not of it (``others``) and
-    the leaders of this turn, each from another class if there are as many."""
-    order = ["struct(-degree, node)"] + [f"xxhash64(node, {turn}, {i})" for i in range(1, LEADERS)]
-    parts = rows.groupBy("key", "root").agg(F.count("*").alias("part"), *[
-        F.expr(f"min_by(node, {o})").alias(f"node{i}") for i, o in enumerate(order)])
-    leaders = [F.expr(f"min_by(struct(node{i} AS node, root), {f'xxhash64(root, {turn}, {i})' if i or turn else '-part'})")
-               for i in range(LEADERS)]
-    some = parts.groupBy("key").agg(F.sum("part").alias("n"), F.count("*").alias("classes"),
-                                    F.expr("max_by(struct(root, part), struct(part, -root))").alias("main"),
-                                    *[x.alias(f"leader{i}") for i, x in enumerate(leaders)])
-    some = some.where("classes > 1").select("key", F.col("main.root").alias("main"), (F.col("n") - F.col("main.part")).alias("others"),
-                                            F.array(*[f"leader{i}" for i in range(LEADERS)]).alias("leaders"))
-    return rows.join(some, "key")
-
-
-def _across(rows: DataFrame) -> DataFrame:
-    """Pairs of different classes in mixed keys with few texts outside the
-    largest class: those few against all."""
-    rows = rows.where(F.col("others") <= FEW)
-    few = rows.where("root <> main").select("key", "node", "root").alias("l")
-    return few.join(rows.alias("r"), F.expr("l.key = r.key AND l.root <> r.root")).select(
-        F.col("l.node").alias("a"), F.col("r.node").alias("b"))
-
-
-def next_pairs(buckets: DataFrame, nodes: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
-    """Pairs of different classes that still share a large bucket."""
-    large = buckets.where(F.col("n") > SMALL).select("key", "node", "degree").join(roots, "node", "left") \
+def mixed_blocks(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, left, right, block, node, root) of the large buckets that hold
+    several classes: each pair of blocks (left, right) with its texts. Blocks of
+    the largest class come last and do not meet each other."""
+    large = buckets.where(F.col("n") > SMALL).select("key", "node").join(roots, "node", "left") \
         .withColumn("root", F.coalesce("root", "node"))
-    open_ = staged(_mixed(large, turn), "near-open")
-    deep = open_.where(F.col("others") > FEW).select("node", "root", "degree", "key") \
-        .join(nodes.select("node", "bands"), "node").withColumn("band", F.explode("bands")).where("band <> key")
-    deep = deep.select(F.xxhash64(F.least("key", "band"), F.greatest("key", "band")).alias("key"), "node", "root", "degree")
-    again = staged(_mixed(deep.distinct(), turn), "near-deep")
-    foreign = F.filter("leaders", lambda leader: leader["root"] != F.col("root"))
-    star = again.where(F.col("others") > FEW).select("node", F.explode(foreign).alias("leader")) \
-        .select(F.col("leader.node").alias("a"), F.col("node").alias("b"))
-    return _across(open_).union(_across(again)).union(star)
+    parts = large.groupBy("key", "root").agg(F.count("*").alias("part"))
+    some = parts.groupBy("key").agg(F.sum("part").alias("n"), F.count("*").alias("classes"),
+                                    F.expr("max_by(struct(root, part), struct(part, -root))").alias("main"))
+    some = some.where("classes > 1").select(
+        "key", F.col("main.root").alias("main"), F.ceil((F.col("n") - F.col("main.part")) / BLOCK_TEXTS).cast("int").alias("few"),
+        F.ceil(F.col("main.part") / BLOCK_TEXTS).cast("int").alias("many"))
+    inside, dealt = F.col("root") == F.col("main"), F.xxhash64("node")
+    rows = large.join(some, "key").select(
+        "key", "node", "root",
+        F.when(inside, F.col("few") + F.pmod(dealt, F.col("many"))).otherwise(F.pmod(dealt, F.col("few"))).cast("int").alias("block"),
+        F.explode(F.sequence(F.lit(0), F.when(inside, F.col("few") - 1).otherwise(F.col("few") + F.col("many") - 1))).alias("other"))
+    return rows.select("key", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "block", "node", "root")
+
+
+def _candidates(key: int, cross: bool, side: np.ndarray, root: np.ndarray, samples: np.ndarray, bands: np.ndarray) -> list[np.ndarray]:
+    """Per text the later ones of other classes (``cross``: of the other block)
+    that agree often enough and whose first common band is this bucket's."""
+    out = []
+    for i in range(len(root)):
+        j = np.arange(i + 1, len(root))
+        j = j[(root[j] != root[i]) & ((side[j] != side[i]) | (not cross))]
+        j = j[(samples[j] == samples[i]).sum(1) >= ESTIMATE * BANDS * ROWS]
+        out.append(j[bands[i][(bands[j] == bands[i]).argmax(1)] == key])
+    return out
+
+
+def block_links(blocks: DataFrame, nodes: DataFrame, texts: DataFrame, weights: Weights, threshold: float = THRESHOLD) -> DataFrame:
+    """Links (a, b) that join the classes of each pair of blocks: all its pairs of
+    different classes are compared, but for those that a link found there has
+    already put into one class."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        n, one = rows.num_rows, {c: rows.column(c)[0].as_py() for c in ("key", "left", "right")}
+        node, root, side = (rows.column(c).to_numpy() for c in ("node", "root", "block"))
+        samples, bands = (pc.list_flatten(rows.column(c)).to_numpy().reshape(n, -1) for c in ("samples", "bands"))
+        later = _candidates(one["key"], one["left"] != one["right"], side, root, samples, bands)
+        used = np.unique(np.concatenate([*later, [i for i in range(n) if len(later[i])]]).astype(np.int64))
+        if not len(used):
+            return schema.empty_table()
+        starts, shingle, weight = weights.shingles(Words(rows.column("text").take(pa.array(used)).combine_chunks()))
+        names, shingle = np.unique(shingle, return_inverse=True)
+        whole, held, place = np.add.reduceat(weight, starts[:-1]), np.zeros(len(names)), np.full(n, -1)
+        place[used] = np.arange(len(used))
+        of = {int(r): int(r) for r in root}
+
+        def find(r: int) -> int:
+            while of[r] != r:
+                r = of[r]
+            return r
+
+        found = []
+        for i, js in enumerate(later):
+            js = np.array([j for j in js.tolist() if find(int(root[j])) != find(int(root[i]))], np.int64)
+            if not len(js):
+                continue
+            x, y = place[i], place[js]
+            mine, size = slice(starts[x], starts[x + 1]), starts[y + 1] - starts[y]
+            held[shingle[mine]] = weight[mine]
+            first = np.cumsum(size) - size
+            at = np.arange(size.sum()) + np.repeat(starts[y] - first, size)
+            common = np.add.reduceat(np.minimum(held[shingle[at]], weight[at]), first)
+            held[shingle[mine]] = 0
+            for j in js[common >= threshold * (whole[x] + whole[y] - common)].tolist():
+                p, q = find(int(root[i])), find(int(root[j]))
+                if p != q:
+                    of[max(p, q)] = min(p, q)
+                    found.append((int(node[i]), int(node[j])))
+        return pa.Table.from_arrays([pa.array([min(f) for f in found], pa.int64()), pa.array([max(f) for f in found], pa.int64())],
+                                    schema=schema)
+
+    rows = blocks.join(nodes.select("node", "samples", "bands"), "node").join(texts, "node")
+    return rows.groupBy("key", "left", "right").applyInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -389,15 +426,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = staged(likely(first_pairs(buckets), nodes), "near-pairs")
     links = staged(verified(pairs, texts, weights, threshold), "near-links")
     roots = components(links)
-    for turn in range(TURNS):
-        more = staged(likely(next_pairs(buckets, nodes, roots, turn), nodes).join(pairs, ["a", "b"], "left_anti"), "near-pairs")
-        if more.isEmpty():
-            break
-        found = staged(verified(more, texts, weights, threshold), "near-links")
-        pairs, links = pairs.union(more), links.union(found)
-        if found.isEmpty():
-            break
-        roots = components(links)
+    blocks = staged(mixed_blocks(buckets, roots), "near-blocks")
+    more = staged(block_links(blocks, nodes, texts, weights, threshold), "near-links")
+    if not more.isEmpty():
+        roots = components(links.union(more))
     return rows.join(roots, "node", "left").select("doc_id", "key", F.coalesce("root", "node").alias("class_node"))
 
 

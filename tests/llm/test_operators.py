@@ -222,6 +222,25 @@ def test_near_duplicate_classes(spark):
     assert sorted(x.doc_id for x in kept.collect()) == sorted({c for _, c in got})
 
 
+def test_near_duplicate_pairs_in_mixed_buckets(spark, monkeypatch):
+    """Pairs just similar enough among texts that are too far apart to link but
+    share large buckets."""
+    if hasattr(near_dup, "BLOCK_TEXTS"):
+        monkeypatch.setattr(near_dup, "BLOCK_TEXTS", 16)
+    r, base, texts = random.Random(11), prose(800, 600).split(), []
+    for _ in range(100):
+        places = r.sample(range(2, 596, 6), 15)
+        change = {k: r.choice(base) for k in places}  # words that all texts know
+        for own in (places[3:9], places[9:]):
+            texts.append(" ".join(change[k] if k in places[:3] or k in own else w for k, w in enumerate(base)))
+    rows = list(enumerate(texts))
+    got = {x.doc_id: x.class_id for x in near_dup.classes(docs(spark, [doc(*x) for x in rows])).collect()}
+    want = dict(_classes(rows))
+    print("classes", len(set(want.values())), "found", len(set(got.values())))
+    assert 50 < len(set(want.values())) < 150
+    assert got == want
+
+
 def test_near_duplicate_query(spark):
     got = {x.doc_id: x.class_id for x in QUERIES["op4_near_duplicates"](spark, SF_SMALL).collect()}
     rows = [(x.doc_id, x.text) for x in spark.read.parquet(SF_SMALL + "/documents.parquet").collect()]
