@@ -14,7 +14,8 @@ the tasks in blocks of bounded size; documents are never shuffled.
 
 Null texts and texts without words hold nothing; items of fewer than
 ``min_words`` words are no evidence and take no part. Repeated items count once,
-repeated documents are separate rows.
+repeated documents are separate rows. Items without an id take part like the others:
+each text of theirs is an item of its own, reported with a null item_id.
 """
 
 from __future__ import annotations
@@ -64,9 +65,10 @@ def edit_search(pattern: str, text: str) -> tuple[int, int]:
 
 
 class ItemIndex:
-    """The pieces of a block of items: find(text) -> {item_id: (distance, end)}."""
+    """The pieces of a block of items: find(text) -> {(item_id, name): (distance,
+    end)}, name being the item's text if it has no id, else empty."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float = RATE):
+    def __init__(self, items: list[tuple[int | None, str]], rate: float = RATE):
         import ahocorasick
         self.items = [(key, text, int(rate * len(text))) for key, text in items]
         owners: dict[str, list[tuple[int, int]]] = {}
@@ -80,7 +82,7 @@ class ItemIndex:
         if owners:
             self.pieces.make_automaton()
 
-    def find(self, text: str) -> dict[int, tuple[int, int]]:
+    def find(self, text: str) -> dict[tuple[int | None, str], tuple[int, int]]:
         starts: dict[int, set[int]] = {}
         if len(self.pieces):
             for last, (size, places) in self.pieces.iter(text):
@@ -99,8 +101,9 @@ class ItemIndex:
                 if left is None:
                     left = start
                 right = start + k if start is not None else 0
-            if best[0] <= k and (key not in found or best < found[key]):
-                found[key] = best
+            name = (key, item if key is None else "")
+            if best[0] <= k and (name not in found or best < found[name]):
+                found[name] = best
         return found
 
 
@@ -112,7 +115,7 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str, min_words: int, bl
     """The usable items in blocks of about ``block``, each of which one task
     can hold."""
     known = items.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("text")) \
-        .where("item_id IS NOT NULL AND text IS NOT NULL").distinct()
+        .where("text IS NOT NULL").distinct()
     n = max(1, -(-known.count() // block))
     out = []
     for i in range(n):
@@ -138,8 +141,9 @@ def matches(docs: DataFrame, items: DataFrame, rate: float = RATE, min_words: in
                 got = []
                 for doc_id, text in zip(b["doc_id"], b["text"]):
                     text = normalized(text)
-                    got += [(doc_id, key, d, text[:end].count(" ") + 1) for key, (d, end) in index.find(text).items()]
-                yield from frames(dict(zip(("doc_id", "item_id", "distance", "end_word"), zip(*got))) if got else {})
+                    got += [(doc_id, key, d, text[:end].count(" ") + 1) for (key, _), (d, end) in index.find(text).items()]
+                columns = dict(zip(("doc_id", "item_id", "distance", "end_word"), zip(*got)))
+                yield from frames(columns | {"item_id": pd.array(columns["item_id"], "Int64")} if got else {})
 
         found = rows.mapInPandas(run, schema)
         out = found if out is None else out.unionByName(found)

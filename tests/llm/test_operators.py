@@ -72,6 +72,17 @@ def test_matches_equal_brute_force(spark):
     assert {x.doc_id for x in clean.collect()} == {d[0] for d in rows} - {w[0] for w in want}
 
 
+def test_items_without_an_id_take_part(spark):
+    a, b, c = prose(301, 14), prose(302, 14), prose(303, 14)
+    big = 2**53 + 1
+    bench = spark.createDataFrame([(None, a), (None, b), (None, a), (big, c)], "item_id long, text string")
+    rows = docs(spark, [doc(1, f"{prose(1, 20)} {a} {c}"), doc(2, prose(2, 30)), doc(3, f"{a} {prose(3, 9)} {b}")]).coalesce(1)
+    for block in (2000, 1):
+        got = sorted((x.doc_id, str(x.item_id), x.distance) for x in decontaminate.matches(rows, bench, block=block).collect())
+        assert got == [(1, str(big), 0), (1, "None", 0), (3, "None", 0), (3, "None", 0)]
+        assert [x.doc_id for x in decontaminate.without_items(rows, bench, block=block).collect()] == [2]
+
+
 # --- 2: urls ---------------------------------------------------------------------
 
 def test_rules_and_parts(spark):
