@@ -124,6 +124,13 @@ def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"), MIX_TARGETS)
 
 
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import periodic
+    documents = table(spark, sf_dir, "documents")
+    return periodic.digests(periodic.periodic_runs(documents, periodic.planted(F.col("doc_id"), F.col("text"))))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
