@@ -131,6 +131,17 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digests(periodic.periodic_runs(documents, periodic.planted(F.col("doc_id"), F.col("text"))))
 
 
+def align_paths() -> tuple[str, str]:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import token_align
+    return token_align.summaries(table(spark, sf_dir, "documents"), *align_paths())
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
