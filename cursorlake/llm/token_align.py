@@ -13,7 +13,7 @@ rows are separate rows and all count.
 
 A task works on chunks of about ``CHUNK_BYTES`` of text (a longer text is a chunk by
 itself) and writes one row a chunk: its documents' figures, its distinct id pairs
-with their counts, and for every link the place of its pair among these. Counts of
+with their counts, and for every link, packed, the place of its pair among these. Counts of
 pairs are summed before any shuffle; a chunk gets back the corpus-wide counts of
 its own pairs only, so no group is larger than a chunk's pairs, however common a
 pair or a text is.
@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import per_worker, staged
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 # fixed values: how a byte-level BPE splits text before merging
 SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # bytes that a byte-level vocabulary writes as themselves; the others follow from U+0100
@@ -215,7 +215,19 @@ def alignments(docs: DataFrame, a_path: str, b_path: str, text: Column | str = "
 
 
 CHUNK = ("chunk long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
-         "groups_sha256 array<string>, pair array<long>, pair_links array<long>, link array<int>")
+         "groups_sha256 array<string>, pair array<long>, pair_links array<long>, link binary")
+
+
+def packed(places: np.ndarray) -> bytes:
+    """Places below 2^16 in two bytes each, else in four; compressed."""
+    wide = len(places) and places.max() > 0xFFFF
+    raw = np.concatenate([[4 if wide else 2], places]).astype("<u4" if wide else "<u2").tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpacked(blob: bytes) -> np.ndarray:
+    raw = pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
+    return np.frombuffer(raw, "<u4" if raw[0] == 4 else "<u2")[1:]
 
 
 def chunk_rows(docs: DataFrame, a_path: str, b_path: str, text: Column | str, id_col: str) -> DataFrame:
@@ -233,7 +245,7 @@ def chunk_rows(docs: DataFrame, a_path: str, b_path: str, text: Column | str, id
                 number += 1
                 one = [pa.array([number]), *(pa.array([v.astype(np.int64)]) for v in (np.diff(x.a_from), np.diff(x.b_from), n_groups,
                        np.diff(x.link_from))), pa.array([sha], pa.list_(pa.string())),
-                       *(pa.array([v], pa.list_(pa.int64())) for v in (pair, n)), pa.array([link.astype(np.int32)], pa.list_(pa.int32()))]
+                       *(pa.array([v], pa.list_(pa.int64())) for v in (pair, n)), pa.array([packed(link)], pa.binary())]
                 ids = pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), part.column("doc_id"))
                 yield pa.RecordBatch.from_arrays([one[0], ids, *one[1:]], [f.split()[0] for f in CHUNK.split(", ")])
 
@@ -260,8 +272,8 @@ def summaries(docs: DataFrame, a_path: str, b_path: str, text: Column | str = "t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                row = {c: batch.column(c)[k].values for c in batch.schema.names if c != "got"}
-                link, got = row["link"].to_numpy(), batch.column("got")[k].values
+                row = {c: batch.column(c)[k].values for c in figures}
+                link, got = unpacked(batch.column("link")[k].as_py()), batch.column("got")[k].values
                 sums = []
                 for name in ("best", "links"):
                     each = got.field(name).to_numpy(zero_copy_only=False).astype(np.int64)[link] if len(link) else np.zeros(0, np.int64)

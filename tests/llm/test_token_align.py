@@ -1,5 +1,6 @@
 """Token alignment against tables of overlaps made one by one."""
 
+import bisect
 import collections
 import hashlib
 import random
@@ -34,10 +35,10 @@ def plain():
             return [], [], [], []
         ends = [np.cumsum([len(x) for x in s]).tolist() for s in as_bytes]
         cuts = sorted(set(ends[0]) & set(ends[1]))
-        groups, low = [], 0
-        for cut in cuts:
-            groups.append(tuple([i for i, e in zip(ids, es) if low < e <= cut] for ids, es in zip((a, b), ends)))
-            low = cut
+        groups = [([], []) for _ in cuts]
+        for side in (0, 1):
+            for i, e in zip((a, b)[side], ends[side]):
+                groups[bisect.bisect_left(cuts, e)][side].append(i)
         links, j = [], 0
         for i, e in enumerate(ends[0]):
             s = ends[0][i - 1] if i else 0
@@ -106,7 +107,7 @@ ODD = [(20, "a <|endoftext|> b <s> </s> <unk> <0x41>"), (21, "lower▁bar"), (22
 def test_odd_rows(spark, plain, monkeypatch, chunk):
     """One text a chunk, some, and all; equal texts in one and in several chunks."""
     rows = odd_rows() + [(i, t, None, None, None, None, None, None) for i, t in ODD] + [
-        (i, prose(i % 3, 25), "en", "s", 1, 0.5, "x", 1) for i in range(30, 60)]
+        (i, prose(i % 3, 25), "en", "s", 1, 0.5, "x", 1) for i in range(30, 45)]
     rows = [(r[0], (r[1] or "")[:20000] or r[1], *r[2:]) for r in rows]
     monkeypatch.setattr(token_align, "CHUNK_BYTES", chunk)
     got = token_align.summaries(docs(spark, rows).coalesce(2), *align_paths())
@@ -124,6 +125,14 @@ def test_alignments_and_empty_table(spark, plain):
     assert token_align.alignments(docs(spark, []), *align_paths()).collect() == []
 
 
+def test_packed_places():
+    for top in (0, 1, 2**16 - 1, 2**16, 2**31):
+        places = np.random.default_rng(0).integers(0, top + 1, 1000)
+        places[:1] = top
+        assert token_align.unpacked(token_align.packed(places)).tolist() == places.tolist()
+    assert token_align.unpacked(token_align.packed(places[:0])).tolist() == []
+
+
 def test_other_byte_level_files(tmp_path):
     """A file whose ids are not in merge order is encoded by the tokenizers library."""
     import json
