@@ -142,6 +142,12 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_align.summaries(table(spark, sf_dir, "documents"), *align_paths())
 
 
+@query
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import ngram_join
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
