@@ -16,9 +16,12 @@ from cursorlake.plans import flows
 from cursorlake.plans.registry import register
 from cursorlake.schemas import table_name
 from cursorlake.session import work_dir
+from cursorlake.sinks.compact import compact_closed, read_compacted
 from cursorlake.sinks.tables import Lakehouse
 from cursorlake.sinks.topic import write_topics
 from cursorlake.sources import files
+from cursorlake.sources.footers import count_by_hour
+from cursorlake.sources.newest import newest_rows
 from cursorlake.sources.events import EXTRA_FIELDS, is_mouse
 from cursorlake.sources.tables import scan_columns as _scan_columns
 from cursorlake.sources.topic import read_topic
@@ -203,6 +206,42 @@ def list_tables(spark, sf_dir):
     return files.list_tables(spark, lake.namespace).select("table")
 
 
+# --- O2 / A1 / K6 over the table's partitions and footers ---------------------------
+
+@register("newest_n_table")
+def newest_n_table(spark, sf_dir):
+    """O2: the newest 50 rows of the mouse table, from its newest hours only."""
+    lake = ingested(spark, sf_dir, ("mouse",))
+    return flows.presentable(newest_rows(lake.read("mouse"), 50).select("event_id", "timestamp", "ts", "ts_hour"))
+
+
+@register("count_from_footers")
+def count_from_footers(spark, sf_dir):
+    """A1: rows per hour of the mouse table, from the footers of its files."""
+    return count_by_hour(ingested(spark, sf_dir, ("mouse",)), "mouse")
+
+
+@register("compact_closed_hours")
+def compact_closed_hours(spark, sf_dir):
+    """K6 for a streamed table: the first half is written anew by hour, then the
+    second half and rows that are late for the first arrive; each row is read once,
+    before and after the late hours are written again."""
+    early, late = flows.time_split(spark, sf_dir)
+    lake, topics = new_lake(spark), work_dir(spark, "topics")
+    behind = F.col("event_id") % 50 == 0
+    newest = []
+    for part in (early & ~behind, late | (early & behind)):
+        drop_topics(spark, sf_dir, topics, part, kinds=("mouse",))
+        await_all(ingest_topics(lake, ("mouse",), topic_root=topics, extra=EXTRA_FIELDS, available_now=True))
+        newest.append(lake.read("mouse").agg(F.max("ts_hour")).first()[0])
+        if len(newest) == 1:
+            compact_closed(lake, "mouse", newest[0])
+    before = read_compacted(lake, "mouse").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("d")).first()
+    compact_closed(lake, "mouse", newest[1])
+    return flows.presentable(read_compacted(lake, "mouse").select(
+        "event_id", "timestamp", "ts_hour", F.lit(before["n"]).cast("long").alias("n_before"), F.lit(before["d"]).cast("long").alias("events_before")))
+
+
 # --- K7 / K8 / K9 / K10 --------------------------------------------------------------
 
 @register("create_namespace")

@@ -178,3 +178,11 @@ _register("scan_parquet_file", "SELECT least(1, count(*)) AS n, least(1, count(*
 _register("latest_file", "SELECT least(1, count(*)) AS n, least(1, count(*)) AS n_known FROM mouse")
 _register("table_files", "SELECT ts_hour, count(*) AS n, true AS has_bytes FROM mouse GROUP BY ts_hour")
 _register("file_name_filter", "SELECT 'data' AS kind, count(*) AS n FROM mouse HAVING count(*) > 0")
+
+# O2 / A1 / K6 over a streamed table
+_register("newest_n_table", 'SELECT event_id, "timestamp", ts, ts_hour FROM mouse ORDER BY "timestamp" DESC, event_id LIMIT 50')
+_register("count_from_footers", "SELECT ts_hour, count(*) AS n FROM mouse GROUP BY ts_hour")
+_register("compact_closed_hours", """
+SELECT event_id, "timestamp", ts_hour, (SELECT count(*) FROM mouse) AS n_before,
+       (SELECT count(DISTINCT event_id) FROM mouse) AS events_before
+FROM mouse""")
