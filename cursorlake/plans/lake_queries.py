@@ -26,6 +26,7 @@ from cursorlake.sources.events import EXTRA_FIELDS, is_mouse
 from cursorlake.sources.tables import scan_columns as _scan_columns
 from cursorlake.sources.topic import read_topic
 from cursorlake.streaming.ingest import await_all, ingest_topics, start_ingest
+from cursorlake.streaming.supervise import supervise
 
 
 def new_lake(spark: SparkSession) -> Lakehouse:
@@ -104,6 +105,29 @@ def partitioned_table(spark, sf_dir):
     return flows.presentable(lake.read("mouse").groupBy("ts_hour").agg(F.count(F.lit(1)).alias("n")))
 
 
+@register("supervised_ingest")
+def supervised_ingest(spark, sf_dir):
+    """W4, independent topics: the keydown query fails at its first start and in its
+    first batch, and is started again; rows per table."""
+    lake, topics = new_lake(spark), work_dir(spark, "topics")
+    drop_topics(spark, sf_dir, topics)
+    starts = {"mouse": 0, "keydown": 0}
+
+    def starter(kind):
+        def start():
+            starts[kind] += 1
+            if kind == "keydown" and starts[kind] == 1:
+                raise ConnectionError("no broker")
+            source = read_topic(spark, table_name(kind), root=topics)
+            if kind == "keydown" and starts[kind] == 2:
+                source = source.select(F.when(F.length("value") > 0, F.raise_error(F.lit("broken batch"))).otherwise(F.col("value")).alias("value"))
+            return start_ingest(lake, kind, source, EXTRA_FIELDS, available_now=True)
+        return start
+
+    supervise({kind: starter(kind) for kind in starts}, shortest=0.1)
+    return _counts(lake, ("mouse", "keydown"))
+
+
 # --- W1 / W2: late rows and restarts -------------------------------------------
 
 def _two_deliveries(spark, sf_dir, kind, first, second) -> Lakehouse:
@@ -306,3 +330,37 @@ def active_shape_stream(spark, sf_dir):
              .option("checkpointLocation", out + "/_cp").trigger(availableNow=True).start(out + "/data"))
         await_all([q])
     return spark.read.parquet(out + "/data")
+
+
+def _closing_tick(spark, sf_dir, topics, ahead_ms) -> None:
+    """One more message, of the newest mouse event, ``ahead_ms`` later: it moves the
+    watermark past all events and is itself not answered."""
+    newest = flows.load_table(spark, sf_dir, "events").where(is_mouse(F.col("event_id"))).agg(F.max_by("event_id", "ts")).first()[0]
+    stamp = F.get_json_object("value", "$.timestamp").cast("long")
+    tick = flows.routed(spark, sf_dir, F.col("event_id") == newest).withColumn("stamp", stamp)
+    write_topics(tick.withColumn("value", F.replace("value", F.col("stamp").cast("string"),
+                                                    (F.col("stamp") + ahead_ms).cast("string"))), "text", topics)
+
+
+@register("active_shape_in_order")
+def active_shape_in_order(spark, sf_dir):
+    """W5 streaming in event-time order: the second delivery brings every fifth event of
+    the hour before it, late but within the watermark's delay. The answer is that of
+    the batch form."""
+    from cursorlake.functions.decode import decode_lenient
+    from cursorlake.streaming.active_shape_ordered import active_shape_in_order as _stream
+    early, late = flows.time_split(spark, sf_dir)
+    cut = flows.load_table(spark, sf_dir, "events").where(early).agg(F.max("ts")).first()[0]
+    held = early & (F.col("event_id") % 5 == 0) & (F.col("ts") > F.lit(cut) - F.expr("INTERVAL 1 HOUR"))
+    topics, out = work_dir(spark, "topics"), work_dir(spark, "active")
+    for part in (early & ~held, late | held, None):
+        if part is None:
+            _closing_tick(spark, sf_dir, topics, 4 * 3_600_000)
+        else:
+            drop_topics(spark, sf_dir, topics, part, kinds=("mouse",))
+        rows = decode_lenient(read_topic(spark, "mouse_events", root=topics), "mouse", extra=EXTRA_FIELDS).select(
+            "user_id", "event_id", "timestamp", "event_type", F.get_json_object("shape", "$.id").alias("shape_id"))
+        q = (_stream(rows, delay="2 hours", slice_ms=3_600_000).writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", out + "/_cp").trigger(availableNow=True).start(out + "/data"))
+        await_all([q])
+    return spark.read.parquet(out + "/data")

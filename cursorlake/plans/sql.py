@@ -186,3 +186,7 @@ _register("compact_closed_hours", """
 SELECT event_id, "timestamp", ts_hour, (SELECT count(*) FROM mouse) AS n_before,
        (SELECT count(DISTINCT event_id) FROM mouse) AS events_before
 FROM mouse""")
+
+# The answers of the plain forms
+ORACLE["supervised_ingest"] = ORACLE["multi_topic_ingest"]
+ORACLE["active_shape_in_order"] = ORACLE["active_shape"]

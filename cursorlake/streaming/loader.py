@@ -5,8 +5,10 @@ rules (P6/P7), and appends a batch as soon as 100 rows are waiting or 5 s have
 passed; it re-reads the topic from the start after a restart. Here:
 
 * on Kafka the same rule is ``minOffsetsPerTrigger`` with ``maxTriggerDelay``;
-  a large ``maxOffsetsPerTrigger`` bounds a batch. The cut of batches is not
-  visible in the result;
+  a large ``maxOffsetsPerTrigger`` bounds a batch. The source decides when a batch
+  starts, so the query has no interval of its own (``flush_interval``): one of 5 s
+  would keep 100 rows waiting for its next tick. A file topic has no such rule and
+  keeps the interval. The cut of batches is not visible in the result;
 * one stream writes loaded rows and quarantined messages (those the reference
   would crash on, with their reasons) into one table, partitioned by status and
   hour. The file sink commits a batch as a whole and once, also after a failure
@@ -34,6 +36,11 @@ FLUSH_ROWS = 100              # fixed value: rows that start a batch
 FLUSH_INTERVAL = "5 seconds"  # fixed value: the longest wait for them
 
 
+def flush_interval(fmt: str) -> str:
+    """The trigger interval that leaves the flush rule to the source, if it has one."""
+    return "0 seconds" if fmt == "kafka" else FLUSH_INTERVAL
+
+
 def loaded_rows(coerced: DataFrame, kind: str, extra=None) -> DataFrame:
     names = schema_for_kind(kind, "loader", extra).names
     return enforce_non_null(split_status(coerced, "ok", names), kind, extra)
@@ -91,5 +98,5 @@ def load_topics(lake: Lakehouse, kinds=("mouse", "keydown"), fmt: str = "text",
             continue
         src = read_topic(lake.spark, table_name(kind), fmt, root=topic_root, servers=servers, min_rows=min_rows,
                          max_delay=max_delay, max_rows=max_rows, **source)
-        out[kind] = start_loader(lake, kind, src, extra, available_now=available_now)
+        out[kind] = start_loader(lake, kind, src, extra, available_now=available_now, interval=flush_interval(fmt))
     return out
