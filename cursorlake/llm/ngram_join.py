@@ -49,8 +49,8 @@ SHINGLE = 4
 PERCENT = 85
 COUNTERS = 1 << 18
 BITS = 2048
-HASHES, BAND = 8, 2
-AGREE = 5
+HASHES, BAND = 24, 4
+AGREE = 14
 FAN = 4
 TILE = 4096
 GROUP_ROWS = 20_000
@@ -157,12 +157,15 @@ def signatures(docs: DataFrame, counters: np.ndarray) -> DataFrame:
 
 
 def leader_pairs(nodes: DataFrame) -> DataFrame:
-    """(a, b): each node of a bucket of equal min-hashes with the bucket's leader, if
+    """(a, b): each node of a bucket of equal min-hashes with the bucket's leader, the
+    one that meets most nodes in its buckets (the original among its near copies), if
     enough of their min-hashes agree."""
     bands = F.array(*(F.xxhash64(F.lit(j), *(F.get("hashes", F.lit(j * BAND + k)) for k in range(BAND))) for j in range(HASHES // BAND)))
     entries = nodes.select("node", F.explode(bands).alias("bucket"))
-    lead = entries.groupBy("bucket").agg(F.expr("min_by(node, xxhash64(node, bucket))").alias("lead"), F.count("*").alias("c")).where("c > 1")
-    pairs = entries.join(lead, "bucket").where("node <> lead") \
+    shared = staged(entries.join(entries.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1"), "bucket"), "ngram-buckets")
+    met = shared.groupBy("node").agg(F.sum("c").alias("met"))
+    lead = shared.join(met, "node").groupBy("bucket").agg(F.expr("min_by(node, struct(-met, node))").alias("lead"))
+    pairs = shared.join(lead, "bucket").where("node <> lead") \
         .select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
     side = nodes.select("node", "n", "hashes")
     both = pairs.join(side.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("hashes").alias("x")), "a") \
@@ -211,6 +214,12 @@ def block_entries(nodes: DataFrame) -> DataFrame:
         .withColumn("tile", F.pmod(F.xxhash64("node"), "tiles").cast("int"))
 
 
+def still_open(entries: DataFrame, parts: DataFrame) -> DataFrame:
+    """The entries of the keys that several components hold."""
+    keys = entries.join(parts.select("node", "part"), "node").groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"))
+    return entries.join(keys.where("low <> high").select("key"), "key", "left_semi")
+
+
 class Tree:
     """Signature trees of several blocks, one tree a block, of the same height: the
     leaves are given sorted by block; every level groups FAN neighbours of a block."""
@@ -274,15 +283,16 @@ class Tree:
 
 
 def likeliest(x: np.ndarray, y: np.ndarray, part: np.ndarray, score: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(kept, more): of a pair, whether it is the best of x with y's component or of
-    y with x's; for kept pairs, whether either end has another pair there."""
+    """(kept, more): which pairs are the best of their end in the smaller component
+    with the other component, and whether that end has others there."""
+    size = np.bincount(np.unique(part, return_inverse=True)[1])[np.unique(part, return_inverse=True)[1]]
+    swap = (size[x] > size[y]) | ((size[x] == size[y]) & (part[x] > part[y]))
+    u, v = np.where(swap, y, x), np.where(swap, x, y)
+    order = np.lexsort((v, -score, part[v], u))
+    begin = np.flatnonzero(np.append(True, (u[order][1:] != u[order][:-1]) | (part[v[order]][1:] != part[v[order]][:-1]))[: len(order)])
     kept, more = np.zeros(len(x), bool), np.zeros(len(x), bool)
-    for u, v in ((x, y), (y, x)):
-        order = np.lexsort((v, -score, part[v], u))
-        new = np.append(True, (u[order][1:] != u[order][:-1]) | (part[v[order]][1:] != part[v[order]][:-1]))
-        begin = np.flatnonzero(new)
-        kept[order[begin]] = True
-        more[order] |= np.repeat(np.diff(np.append(begin, len(order))) > 1, np.diff(np.append(begin, len(order))))
+    kept[order[begin]] = True
+    more[order[begin]] = np.diff(np.append(begin, len(order))) > 1
     return kept, more
 
 
@@ -341,11 +351,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         pairs = tree_pairs(entries, parts, every)
         known = known.union(verified(pairs.select("a", "b").join(known, ["a", "b"], "left_anti"), nodes, texts))
         links = known.where("linked").select("a", "b")
-        open_nodes = pairs.where("more").select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        entries = staged(entries.join(open_nodes, "node", "left_semi"), "ngram-entries")
-        if every or entries.isEmpty():
+        if every or pairs.where("more").isEmpty():
             break
         parts = staged(with_parts(nodes.select("node", "n", "bits"), links), "ngram-parts")
+        entries = staged(still_open(entries, parts), "ngram-entries")
     of = rows.select("doc_id", "n", "node").join(components(links), "node", "left") \
         .select("doc_id", "n", F.coalesce("root", "node").alias("root"))
     least = of.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"))
