@@ -18,8 +18,10 @@ similarity is at least 0.8; classes are the connected components of the links.
   first compared with the leader, the one that shares the most buckets with others
   (the original among its near copies). Then all pairs of different classes in it
   are compared: its texts outside the largest class with all its texts, in blocks
-  of about ``BLOCK_TEXTS``. A task holds two blocks and returns only links between
-  classes that it has not joined yet, so no row stands for a pair.
+  as large as a task can hold (about ``BLOCK_TEXTS`` texts, ``BLOCK_BYTES`` of text). A
+  task holds two blocks and returns only links between classes that it has not joined
+  yet, so no row stands for a pair; a bucket costs a row per text and block, and only if
+  it is still in several classes.
 * Candidate pairs that agree in fewer than half of the samples are put aside (a
   pair of similarity 0.8 does with probability 0.0001); the others are verified on
   their whole texts.
@@ -47,7 +49,8 @@ BANDS, ROWS = 10, 3
 COMMON = 0.002
 SMALL = 8
 ESTIMATE = 0.5
-BLOCK_TEXTS = 128
+BLOCK_TEXTS = 2048
+BLOCK_BYTES = 16 << 20
 RUN_BYTES = 8 << 20
 BLOCK = 1 << 16
 NO_WORDS = r"[^\p{L}\p{N}]+"
@@ -237,7 +240,7 @@ def row_key(id_col: str, text_col: str) -> Column:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, weights: Weights) -> DataFrame:
-    """(doc_id, key, node, samples, bands) per row; node, samples and bands are
+    """(doc_id, key, bytes, node, samples, bands) per row; node, samples and bands are
     null for texts without words."""
     def lists(full: np.ndarray, rows: np.ndarray, kind: pa.DataType) -> pa.Array:
         offsets = np.concatenate([[0], np.cumsum(full * rows.shape[1])]).astype(np.int32)
@@ -252,13 +255,14 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, weights: Weights) ->
                 starts, shingle, weight = weights.shingles(words)
                 got = sampler(np.concatenate([starts[:-1][full], starts[-1:]]), shingle, weight)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("key"), pa.array(nodes_of(words), pa.int64(), mask=~full),
+                    [part.column("doc_id"), part.column("key"), pc.binary_length(part.column("text")).cast(pa.int64()),
+                     pa.array(nodes_of(words), pa.int64(), mask=~full),
                      lists(full, got.view(np.int32), pa.int32()), lists(full, band_keys(got, BANDS, ROWS), pa.int64())],
-                    ["doc_id", "key", "node", "samples", "bands"])
+                    ["doc_id", "key", "bytes", "node", "samples", "bands"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(id_col, text_col).alias("key"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, key string, node long, samples array<int>, bands array<long>")
+    return rows.mapInArrow(run, "doc_id long, key string, bytes long, node long, samples array<int>, bands array<long>")
 
 
 def likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -329,18 +333,24 @@ def first_pairs(buckets: DataFrame) -> DataFrame:
     return star.union(rest)
 
 
-def mixed_blocks(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+def mixed_blocks(buckets: DataFrame, roots: DataFrame, sizes: DataFrame) -> DataFrame:
     """(key, left, right, block, node, root) of the large buckets that hold
     several classes: each pair of blocks (left, right) with its texts. Blocks of
     the largest class come last and do not meet each other."""
     large = buckets.where(F.col("n") > SMALL).select("key", "node").join(roots, "node", "left") \
         .withColumn("root", F.coalesce("root", "node"))
-    parts = large.groupBy("key", "root").agg(F.count("*").alias("part"))
-    some = parts.groupBy("key").agg(F.sum("part").alias("n"), F.count("*").alias("classes"),
-                                    F.expr("max_by(struct(root, part), struct(part, -root))").alias("main"))
+    parts = large.join(sizes.select("node", "bytes"), "node").groupBy("key", "root").agg(
+        F.count("*").alias("part"), F.sum("bytes").alias("bytes"))
+    some = parts.groupBy("key").agg(F.sum("part").alias("n"), F.sum("bytes").alias("bytes"), F.count("*").alias("classes"),
+                                    F.expr("max_by(struct(root, part, bytes), struct(part, -root))").alias("main"))
+
+    def blocks(texts: Column, size: Column) -> Column:
+        return F.greatest(F.ceil(texts / BLOCK_TEXTS), F.ceil(size / BLOCK_BYTES)).cast("int")
+
     some = some.where("classes > 1").select(
-        "key", F.col("main.root").alias("main"), F.ceil((F.col("n") - F.col("main.part")) / BLOCK_TEXTS).cast("int").alias("few"),
-        F.ceil(F.col("main.part") / BLOCK_TEXTS).cast("int").alias("many"))
+        "key", F.col("main.root").alias("main"),
+        blocks(F.col("n") - F.col("main.part"), F.col("bytes") - F.col("main.bytes")).alias("few"),
+        blocks(F.col("main.part"), F.col("main.bytes")).alias("many"))
     inside, dealt = F.col("root") == F.col("main"), F.xxhash64("node")
     rows = large.join(some, "key").select(
         "key", "node", "root",
@@ -419,14 +429,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     weights = word_weights(docs, F.coalesce(F.col(text_col), F.lit("")))
     rows = staged(signatures(docs, id_col, text_col, weights), "near-rows")
     nodes = staged(rows.where("node IS NOT NULL").groupBy("node").agg(
-        F.first("samples").alias("samples"), F.first("bands").alias("bands"), F.min("key").alias("key")), "near-nodes")
+        F.first("samples").alias("samples"), F.first("bands").alias("bands"), F.min("key").alias("key"),
+        F.max("bytes").alias("bytes")), "near-nodes")
     buckets = staged(shared_buckets(nodes), "near-buckets")
     texts = bucket_texts(docs, nodes, buckets, id_col, text_col)
     text_batches(docs.sparkSession, 256)
     pairs = staged(likely(first_pairs(buckets), nodes), "near-pairs")
     links = staged(verified(pairs, texts, weights, threshold), "near-links")
     roots = components(links)
-    blocks = staged(mixed_blocks(buckets, roots), "near-blocks")
+    blocks = staged(mixed_blocks(buckets, roots, nodes), "near-blocks")
     more = staged(block_links(blocks, nodes, texts, weights, threshold), "near-links")
     if not more.isEmpty():
         roots = components(links.union(more))
