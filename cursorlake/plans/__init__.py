@@ -2,7 +2,7 @@
 
 
 def all_queries():
-    from cursorlake.plans import registry, lake_queries, loader_queries  # noqa: F401  (registration)
+    from cursorlake.plans import registry, lake_queries, loader_queries, stream_queries  # noqa: F401  (registration)
     return dict(registry.QUERIES)
 
 

@@ -190,3 +190,27 @@ FROM mouse""")
 # The answers of the plain forms
 ORACLE["supervised_ingest"] = ORACLE["multi_topic_ingest"]
 ORACLE["active_shape_in_order"] = ORACLE["active_shape"]
+
+# K1 / J1 / J2 on streams; shapes are labelled anew between the two halves of the time span
+_register("route_stream", """
+SELECT event_id, CASE WHEN event_id % 10 < 7 THEN 'mouse_events' ELSE 'keydown_events' END AS topic,
+       CAST(1 AS BIGINT) AS n
+FROM base""")
+_LABELLED = """
+, middle AS (SELECT min(ts) + (max(ts) - min(ts)) / 2 AS mid FROM events),
+halves AS (SELECT event_id, CASE WHEN ts < (SELECT mid FROM middle) THEN ' 0' ELSE ' 1' END AS half FROM events)
+SELECT event_id, shape_id, label || half AS shape_label
+FROM mouse LEFT JOIN (SELECT id AS shape_id, label FROM shapes) USING (shape_id) JOIN halves USING (event_id)"""
+_register("hit_test_stream", _LABELLED)
+_register("hit_test_first_stream", _LABELLED + " WHERE shape_id IS NOT NULL", order="first")
+
+# Counts of batches
+_register_dirty("batch_counts", " UNION ALL ".join(f"""
+SELECT '{kind}' AS kind, (SELECT count(*) FROM base WHERE {of_kind}) AS n_messages,
+       (SELECT count(*) FROM {kind}_all) AS n_rows,
+       (SELECT count(*) FROM base WHERE {of_kind}) - (SELECT count(*) FROM {kind}_all) AS n_unparsable,
+       (SELECT count(*) FROM base WHERE {of_kind}) AS n_seen,
+       (SELECT count(*) FROM {kind}_loaded) AS n_loaded,
+       (SELECT count(*) FROM kept_aside WHERE kind = '{kind}') AS n_quarantined"""
+                                                   for kind, of_kind in (("mouse", "event_id % 10 < 7"),
+                                                                         ("keydown", "event_id % 10 >= 7"))), text=False)

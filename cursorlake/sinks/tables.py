@@ -111,8 +111,8 @@ class Lakehouse:
     def check_writable(self, kind: str, checkpoint: str) -> None:
         """Fail if the table's commit log is ahead of the checkpoint: a stream
         started from it would take new batches for committed ones and skip them."""
-        done = _last_batch(self.spark, f"{self.location(kind)}/_spark_metadata")
-        planned = _last_batch(self.spark, f"{checkpoint}/offsets")
+        done = last_batch(self.spark, f"{self.location(kind)}/_spark_metadata")
+        planned = last_batch(self.spark, f"{checkpoint}/offsets")
         if done > planned:
             raise RuntimeError(f"{self.name(kind)} has batch {done} committed, but checkpoint {checkpoint} knows only "
                                f"{planned}: another writer's table, or a lost checkpoint")
@@ -131,7 +131,7 @@ class Lakehouse:
             self.spark.conf.set(size, before)
 
 
-def _last_batch(spark: SparkSession, log: str) -> int:
+def last_batch(spark: SparkSession, log: str) -> int:
     """The largest batch number in a stream's log folder, -1 without one."""
     path = spark._jvm.org.apache.hadoop.fs.Path(log)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -34,6 +34,7 @@ from cursorlake.operators.project import project
 from cursorlake.sinks.tables import Lakehouse
 from cursorlake.sources.topic import read_topic
 from cursorlake.schemas import table_name
+from cursorlake.streaming.counts import received, written
 
 log = logging.getLogger(__name__)
 
@@ -69,7 +70,8 @@ def start_ingest(lake: Lakehouse, kind: str, source: DataFrame, extra=None,
     lake.create_if_absent(kind, "sink", extra)
     checkpoint = lake.checkpoint("ingest", kind)
     lake.check_writable(kind, checkpoint)
-    rows = ingest_frame(cluster_by_time(source) if available_now else source, kind, extra, watermark)
+    source = received(cluster_by_time(source) if available_now else source)
+    rows = written(ingest_frame(source, kind, extra, watermark), "ts")
     writer = (rows.writeStream.format(lake.fmt)
               .partitionBy("ts_hour")
               .option("checkpointLocation", checkpoint)

@@ -28,6 +28,7 @@ from cursorlake.functions.time import floor_hour
 from cursorlake.schemas import schema_for_kind, table_name
 from cursorlake.sinks.tables import Lakehouse
 from cursorlake.sources.topic import MAX_ROWS, read_topic
+from cursorlake.streaming.counts import received, written
 from cursorlake.streaming.ingest import cluster_by_time
 
 log = logging.getLogger(__name__)
@@ -78,7 +79,9 @@ def start_loader(lake: Lakehouse, kind: str, source: DataFrame, extra=None,
     lake.create_if_absent(kind, "loader", extra)
     checkpoint = lake.checkpoint("loader", kind)
     lake.check_writable(kind, checkpoint)
-    rows = table_rows(cluster_by_time(source) if available_now else source, kind, extra)
+    source = received(cluster_by_time(source) if available_now else source)
+    good = F.col("status") == "ok"
+    rows = written(table_rows(source, kind, extra), "timestamp", loaded=good, quarantined=~good)
     writer = (rows.writeStream.format(lake.fmt)
               .partitionBy("status", "ts_hour")
               .option("checkpointLocation", checkpoint).option("compression", "zstd").outputMode("append"))
