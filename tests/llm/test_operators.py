@@ -479,17 +479,23 @@ def test_language_model_query(spark, monkeypatch):
     assert test["score"].sum() > test["base_score"].sum()
 
 
+def _model(frame, held_out, classes):
+    rows = frame.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
+    counts = brown.word_counts(rows.where("NOT held_out"))
+    tokens, vocabulary, words, n = brown.head_words(counts)
+    encoded = brown.encode(rows, words).where("NOT held_out")
+    return brown.fit(encoded, tokens, vocabulary, words, n, classes), {bytes(x.word): x.n for x in counts.collect()}
+
+
 def test_class_model_equals_plain_formula_and_sums_to_one(spark, monkeypatch):
-    monkeypatch.setattr(brown, "CLUSTERED", 1 / 40)
+    monkeypatch.setattr(brown, "SEEDS", 12)
     monkeypatch.setattr(brown, "HEAD", 1 / 200)
     texts = [prose(i, 50) for i in range(40)] + ["a b a c a b", "b a", ""]
     frame = docs(spark, [doc(i, t) for i, t in enumerate(texts)])
     got = {x.doc_id: x for x in brown.score(frame, F.col("doc_id") >= 38, classes=4).collect()}
-    train = docs(spark, [doc(i, t) for i, t in enumerate(texts[:38])])
-    counts = brown.word_counts(train.select("text"))
-    model = brown.fit(train.select("text"), counts, classes=4)
-    c = {bytes(x.word): x.n for x in counts.collect()}
-    seen = {w: (model.head[w][0] if w in model.head else 1) for w in c}
+    model, c = _model(frame, F.col("doc_id") >= 38, 4)
+    seen = {**{w: 1 for w in c}, **{w: int(k) for w, k in zip(model.words, model.of)}}
+    assert set(seen.values()) >= {0, 1, 2}
     size, types = collections.Counter(), collections.Counter()
     for w, k in seen.items():
         size[k] += c[w]
@@ -512,6 +518,56 @@ def test_class_model_equals_plain_formula_and_sums_to_one(spark, monkeypatch):
         assert got[i].score == pytest.approx(want, rel=1e-9)
 
 
+def test_moves_equal_brute_force(spark, monkeypatch):
+    """Every word's move is the class that raises the likelihood most, counted anew
+    for each class; packed rows in several pieces give the same."""
+    monkeypatch.setattr(brown, "HEAD", 1 / 400)
+    r = random.Random(8)
+    texts = [" ".join(r.choice(["a a", "b", "c d", "e", "f", "g h", "i i", "j"]) + r.choice("xyz") for _ in range(30)) for _ in range(40)]
+    frame = docs(spark, [doc(i, t) for i, t in enumerate(texts)])
+    rows = frame.select("doc_id", F.lit(False).alias("held_out"), "text")
+    _, _, words, _ = brown.head_words(brown.word_counts(rows))
+    encoded, none = brown.encode(rows, words), len(words)
+    of = np.array([0] + [1 + i % 4 for i in range(none - 1)] + [1])
+    place = {w: i for i, w in enumerate(words)}
+    table = np.zeros((none + 1, none + 1))
+    for t in texts:
+        seq = [0] + [place.get(w, none) for w in brown.words_of(t)] + [0]
+        for a, b in zip(seq, seq[1:]):
+            table[a, b] += 1
+
+    def joint(of):
+        member = np.eye(5)[of]
+        return member.T @ table @ member
+
+    assert (brown.pair_counts(encoded, of, 5) == joint(of)).all()
+    want = {}
+    for w in range(1, none):
+        value = []
+        for k in range(2, 5):
+            other = of.copy()
+            other[w] = k
+            value.append(brown.likelihood(joint(other)))
+        best = max(range(3), key=value.__getitem__)
+        if of[w] == 1 or value[best] > value[of[w] - 2] + 1e-6:
+            want[w] = 2 + best
+    for flush in (brown.FLUSH_ENTRIES, 8):
+        monkeypatch.setattr(brown, "FLUSH_ENTRIES", flush)
+        got = brown.best_moves(encoded, of, joint(of))
+        assert dict(zip(got["word"], got["class"])) == want and want
+
+
+def test_all_head_words_are_clustered_and_likelihood_rises(spark, monkeypatch):
+    """No head word stays with the rest; sweeps beyond the seeds raise the likelihood."""
+    monkeypatch.setattr(brown, "SEEDS", 6)
+    r = random.Random(9)
+    texts = [" ".join(f"a{r.randrange(30)} b{r.randrange(30)}" for _ in range(40)) for _ in range(60)]
+    frame = docs(spark, [doc(i, t) for i, t in enumerate(texts)])
+    model, c = _model(frame, F.lit(False), 4)
+    assert len(model.words) == len(c) == 61 and (model.of[1:] > 1).all() and model.of[0] == 0
+    assert not {k for w, k in zip(model.words, model.of) if w[:1] == b"a"} & {k for w, k in zip(model.words, model.of) if w[:1] == b"b"}
+
+
 def test_exchange_raises_the_likelihood():
     """Two kinds of words that alternate end up in two classes."""
     m = 12
