@@ -54,6 +54,14 @@ def drop_staged(spark: SparkSession, since: int, keep: int = 1) -> None:
     del _written[since:last]
 
 
+def dealt_by_bytes(places: DataFrame, size: str, task_bytes: int, *keys: str) -> DataFrame:
+    """Deal rows that name pieces of files over tasks that read about ``task_bytes``
+    each. The count is explicit, as the rows are so small that adaptive execution
+    would put them, and with them all the reading, into one task."""
+    whole = places.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    return places.repartition(max(1, -(-int(whole) // task_bytes)), *keys)
+
+
 def unit_hash(*cols: Column) -> Column:
     """A deterministic number in [0, 1) per row, from the row's own values."""
     return F.shiftrightunsigned(F.xxhash64(*cols), 11) / F.lit(float(1 << 53))

@@ -26,11 +26,12 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import frames, per_worker, staged, text_batches, work_dir
+from .common import dealt_by_bytes, frames, per_worker, staged, text_batches, work_dir
 from .files import AtomicFile, store
 
 HEAD = "<4sIQQ"
 BLOCK_IDS = 1 << 20
+READ_BYTES = 8 << 20  # of blocks that one task reads back
 CACHED_WORDS = 600_000
 CACHED_CHARS = 64
 SPECIAL = "<|"
@@ -278,7 +279,7 @@ def read(index: DataFrame, folder: str) -> DataFrame:
                 yield from frames({"doc_id": doc_id, "start": int(start) + ends - lengths,
                                    "ids": [ids[e - k: e].tobytes() for e, k in zip(ends, lengths)]})
 
-    rows = blocks.select("part", "place", "size", "start").repartition("part", "place")
+    rows = dealt_by_bytes(blocks.select("part", "place", "size", "start"), "size", READ_BYTES, "part", "place")
     return rows.mapInPandas(run, "doc_id long, start long, ids binary")
 
 

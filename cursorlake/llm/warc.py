@@ -21,16 +21,18 @@ from __future__ import annotations
 import base64
 import hashlib
 import struct
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import frames, staged, text_batches, work_dir
+from .common import dealt_by_bytes, frames, staged, text_batches, work_dir
 from .files import AtomicFile, store
 
 FRAME_BYTES = 1 << 20
+READ_BYTES = 32 << 20  # of records that one task reads back
 LEVEL = 3
 CAPTURED = "1970-01-01T00:00:00Z"
 # fixed values of the seekable format
@@ -167,13 +169,15 @@ def with_responses(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 def write(pages: DataFrame, folder: str | None = None, min_bytes: int = 0,
           frame_bytes: int = FRAME_BYTES) -> tuple[DataFrame, str]:
     """Write bundles; returns their index (record_id, page_id, bundle, frame,
-    place, size) and the folder. An empty table writes no bundle."""
+    place, size) and the folder. An empty table writes no bundle. Each try of a task
+    writes a bundle of its own name, as its rows may come in another order; the index
+    names the bundles of the tries that Spark has committed, others are not read."""
     spark = pages.sparkSession
     text_batches(spark)
     folder = folder or work_dir(spark, "warc")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        name = f"bundle-{TaskContext.get().partitionId():05d}.warc.zst"
+        name = f"bundle-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex[:12]}.warc.zst"
         bundle, seen = None, {}
         for b in batches:
             bundle = bundle or Bundle(folder, name, frame_bytes)
@@ -222,8 +226,8 @@ def read(index: DataFrame, folder: str, with_payload: bool = False) -> DataFrame
         if reader:
             reader.close()
 
-    ordered = index.repartition("bundle", "frame").sortWithinPartitions("bundle", "frame", "place")
-    rows = ordered.select("bundle", "frame", "place", "size").mapInPandas(
+    dealt = dealt_by_bytes(index.select("bundle", "frame", "place", "size"), "size", READ_BYTES, "bundle", "frame")
+    rows = dealt.sortWithinPartitions("bundle", "frame", "place").mapInPandas(
         run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, "
              "url string, payload binary")
     return rows if with_payload else rows.drop("payload")
