@@ -3,7 +3,9 @@
 A document becomes a vector of transformed statistics of its whole text
 (:func:`features`). Each class has a mean and a covariance shrunk towards the
 diagonal of the pooled one; the score is the logistic of the difference of the
-two log densities plus the log prior ratio. Means and second moments are sums over
+two log densities plus the log prior ratio, divided by the root of the number of
+statistics: they depend on each other, and undivided sums would leave few scores
+between 0 and 1. The order of documents is that of the difference itself. Means and second moments are sums over
 all labelled rows, added up by Spark; the driver sees one number per class and
 moment. Cholesky factors are inverted once and travel with the model.
 
