@@ -3,7 +3,7 @@ parameters, and the SQL where SQL can say the same."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .common import held_out, table
 
@@ -87,20 +87,32 @@ URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.exa
              ("block", "net/es/"), ("block", "net/fr/")]
 # words of a host name that mark the urls labelled "block" for training
 BLOCKED_WORDS = ["adult", "ads", "bets", "casino", "gambling", "pills", "porn", "spam", "viagra", "warez", "xxx"]
+ARTICLE_SPACES = 100  # in the html of a page that counts as prose
 
 
-@query
-def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled urls: those whose host names a blocked word, and as allowed ones
-    those that a rule allows. The trees get neither words nor rules, only
-    lexical features."""
+def url_labels(pages: DataFrame, learnt: Column | None = None) -> DataFrame:
+    """(url, y) of every page. To block: hosts that name a blocked word, unless a
+    rule allows the url. To allow: hosts that name none, if a rule allows the url
+    or its html holds an article of some length. Others, and rows for which
+    ``learnt`` (of host) is not true, have no label. The trees get neither
+    words nor rules nor html, only lexical features of urls."""
     from . import urls
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
     parts = urls.with_parts(pages)
     _, verdict = urls.rule_for(F.col("host"), F.col("path"), URL_RULES)
     word = F.col("host").rlike(rf"(^|[.-])({'|'.join(BLOCKED_WORDS)})([.-]|$)")
-    labelled = parts.select("url", F.when(word, 1).when(verdict == "allow", 0).alias("y"))
-    return urls.judged(pages, URL_RULES, urls.fit(labelled)).select(
+    article = F.col("html").contains("<article") & (
+        F.length("html") - F.length(F.replace(F.col("html"), F.lit(" "), F.lit(""))) >= ARTICLE_SPACES)
+    allowed = F.coalesce(verdict == "allow", F.lit(False))
+    y = F.when(word & ~allowed, 1).when(~word & (allowed | (verdict.isNull() & article)), 0)
+    return parts.select("url", (y if learnt is None else F.when(learnt, y)).alias("y"))
+
+
+@query
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import urls
+    pages = table(spark, sf_dir, "pages")
+    model = urls.fit(url_labels(pages))
+    return urls.judged(pages.select("page_id", "url"), URL_RULES, model).select(
         "page_id", "host", "path", "rule", "verdict", "block_score")
 
 

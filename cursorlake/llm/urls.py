@@ -4,10 +4,16 @@ A rule is (verdict, pattern) with a pattern ``host/path``: it fits its host and
 all subdomains if the url's path starts with the rule's path. Of the rules that
 fit, the longest pattern wins. Urls that no rule decides get the verdict of
 boosted trees trained on labelled urls: lengths, depth, digit ratio, entropy,
-parameter counts and the block rates of the url's suffixes among the labelled
-ones. Suffix rates are summed over all labelled rows into SUFFIX_BUCKETS hashed
-buckets, so the table that the tasks hold never grows; the trees are fitted on a
-bounded sample of them.
+parameter counts and the block rates of the url's suffixes (registered name with
+and without the label before it, last label, file suffix).
+
+Suffixes are counted exactly, over all rows. A suffix with fewer than
+MIN_LABELLED labelled rows has the rate of all of them. Suffixes that hold at least
+FREQUENT of the rows, at most 1 / FREQUENT for each kind, travel with the tasks; the
+rates of the others, however many there are, are joined by suffix, and rows
+without such a suffix are dealt over the join's tasks. The trees are fitted on
+a bounded sample; to half of its hosts the rates of their names are hidden, so that
+the trees also learn to judge hosts that nobody has labelled.
 
 A null url, or one without ``://``, has an empty host and path, which no rule
 fits; the trees judge it like any other. Without labelled urls, or with one label
@@ -16,17 +22,21 @@ only, the trees give a constant. Repeated urls are separate rows.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import Counter
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .boosting import BoostedTrees
-from .common import bounded_sample
+from .common import bounded_sample, staged
 
-SUFFIX_BUCKETS = 1024
+KINDS = 4  # of suffixes, the first two of which are names
+FREQUENT = 0.001
+MIN_LABELLED = 5
 SUFFIX_WEIGHT = 20.0
 SAMPLE_ROWS = 20_000
 THRESHOLD = 0.5
@@ -56,14 +66,21 @@ def rule_for(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[
     return pattern, verdict
 
 
-def _suffixes(url: str) -> list[int]:
-    """Buckets of the registered name, the last host label and the file suffix."""
-    rest = url.partition("://")[2]
-    host = rest.partition("/")[0].partition("?")[0].partition("#")[0].lower().split(".")
-    path = rest.partition("?")[0].partition("#")[0].partition("/")[2]
+def suffixes_of(url: str) -> list[str]:
+    """The last three and two labels of the host, its last label and the file
+    suffix of the path ('' if there is none)."""
+    host, _, path = re.split(r"[?#]", url.partition("://")[2], maxsplit=1)[0].partition("/")
+    labels = host.lower().split(".")
     name = path.rpartition("/")[2]
-    parts = [".".join(host[-3:]), ".".join(host[-2:]), host[-1], "." + name.rpartition(".")[2] if "." in name else ""]
-    return [zlib.crc32(f"{i}:{x}".encode("utf-8", "replace")) % SUFFIX_BUCKETS for i, x in enumerate(parts)]
+    return [".".join(labels[-3:]), ".".join(labels[-2:]), labels[-1], "." + name.rpartition(".")[2] if "." in name else ""]
+
+
+def suffixes(url: Column) -> Column:
+    @F.pandas_udf("array<string>")
+    def found(urls: pd.Series) -> pd.Series:
+        return urls.map(suffixes_of)
+
+    return found(url)
 
 
 def _lexical(url: str) -> list[float]:
@@ -81,59 +98,104 @@ def _lexical(url: str) -> list[float]:
             sum(c in "aeiou" for c in host) / max(1, letters), max((len(x) for x in host.split(".")), default=0)]
 
 
-def suffix_rates(labelled: DataFrame) -> np.ndarray:
-    """Smoothed block rate per suffix bucket over all labelled rows (url, y)."""
-    def run(batches):
-        total = np.zeros((2, SUFFIX_BUCKETS))
-        for b in batches:
-            for url, y in zip(b["url"], b["y"]):
-                total[int(y), list(set(_suffixes(url)))] += 1
-        yield pd.DataFrame({"y": np.repeat([0, 1], SUFFIX_BUCKETS), "at": np.tile(np.arange(SUFFIX_BUCKETS), 2),
-                            "n": total.ravel().astype(np.int64)}).query("n > 0")
-
-    got = labelled.mapInPandas(run, "y int, at int, n long").groupBy("y", "at").agg(F.sum("n").alias("n")).toPandas()
-    n = np.zeros((2, SUFFIX_BUCKETS))
-    n[got["y"], got["at"]] = got["n"]
-    prior = (n[1].sum() + 1) / (n.sum() + 2)
-    return (n[1] + SUFFIX_WEIGHT * prior) / (n.sum(0) + SUFFIX_WEIGHT)
+def suffix_counts(rows: DataFrame) -> DataFrame:
+    """(kind, suffix, n, labelled, blocked) of all rows (url, y); y may be null."""
+    found = rows.select("y", suffixes(F.col("url")).alias("suffixes")).select("y", F.posexplode("suffixes").alias("kind", "suffix"))
+    return found.groupBy("kind", "suffix").agg(F.count("*").alias("n"), F.count("y").alias("labelled"),
+                                               F.coalesce(F.sum("y"), F.lit(0)).alias("blocked"))
+
+
+@dataclass
+class SuffixRates:
+    """Smoothed block rates: of frequent suffixes by kind, and a table (kind,
+    suffix, rate) of the others."""
+
+    prior: float
+    frequent: list[dict[str, float]]
+    others: DataFrame
+
+    def joined(self, rows: DataFrame, url_col: str) -> DataFrame:
+        """``rows`` as a column ``row``, with ``url`` and the ``rates`` of its
+        suffixes (null for a suffix whose rate the tasks know)."""
+        url = F.coalesce(F.col(url_col), F.lit(""))
+        out = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"), url.alias("url"),
+                          suffixes(url).alias("suffixes"))
+        out = out.withColumn("deal", F.concat(F.lit("\n"), F.xxhash64("row").cast("string")))
+        rates = []
+        for kind, known in enumerate(self.frequent):
+            suffix = F.col("suffixes")[kind]
+            key = F.when(suffix.isin(list(known)), F.col("deal")).otherwise(suffix) if known else suffix
+            other = self.others.where(F.col("kind") == kind).select(
+                F.col("suffix").alias(f"suffix_{kind}"), F.col("rate").alias(f"rate_{kind}"))
+            out = out.join(other, key == F.col(f"suffix_{kind}"), "left").drop(f"suffix_{kind}")
+            rates.append(F.col(f"rate_{kind}"))
+        return out.select("row", "url", "suffixes", F.array(*rates).alias("rates"))
+
+    def known(self, suffixes: list[list[str]], rates: list[list[float | None]]) -> np.ndarray:
+        """One rate per url and kind."""
+        return np.array([[known.get(s, self.prior) if r is None or r != r else r
+                          for known, s, r in zip(self.frequent, ss, rr)] for ss, rr in zip(suffixes, rates)],
+                        float).reshape(-1, KINDS)
+
+
+def suffix_rates(rows: DataFrame) -> SuffixRates:
+    """Rates from rows (url, y); those with a null y count towards how frequent
+    a suffix is, and so how its rate is looked up, only."""
+    counts = staged(suffix_counts(rows), "url-suffixes")
+    n, labelled, blocked = counts.where("kind = 0").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "labelled", "blocked")]).first()
+    prior = (blocked + 1) / (labelled + 2)
+    rate = (F.col("blocked") + SUFFIX_WEIGHT * prior) / (F.col("labelled") + SUFFIX_WEIGHT)
+    rated = counts.select("kind", "suffix", F.when(F.col("labelled") >= MIN_LABELLED, rate).otherwise(prior).alias("rate"), "n", "labelled")
+    often = F.col("n") >= n * FREQUENT
+    frequent = [{} for _ in range(KINDS)]
+    for kind, suffix, r, *_ in rated.where(often).collect():  # at most 1 / FREQUENT of a kind
+        frequent[kind][suffix] = r
+    return SuffixRates(prior, frequent, rated.where(~often & (F.col("labelled") >= MIN_LABELLED)).select("kind", "suffix", "rate"))
 
 
 def features(urls: list[str], rates: np.ndarray) -> np.ndarray:
     if not urls:
-        return np.zeros((0, 23))
-    return np.array([_lexical(u) + rates[_suffixes(u)].tolist() for u in urls], float)
+        return np.zeros((0, 19 + KINDS))
+    return np.hstack([np.array([_lexical(u) for u in urls], float), rates])
 
 
 class UrlModel:
-    def __init__(self, trees: BoostedTrees, rates: np.ndarray):
+    def __init__(self, trees: BoostedTrees, rates: SuffixRates):
         self.trees, self.rates = trees, rates
 
-    def score(self, url: Column) -> Column:
-        """Probability that a url is to be blocked."""
-        model, rates = self.trees, self.rates
+    def scored(self, rows: DataFrame, url_col: str = "url") -> DataFrame:
+        """``rows`` with block_score, the probability that a url is to be blocked."""
+        model, rates = self.trees, SuffixRates(self.rates.prior, self.rates.frequent, None)
 
         @F.pandas_udf("double")
-        def block(urls: pd.Series) -> pd.Series:
-            return pd.Series(model.predict(features(urls.tolist(), rates)))
+        def block(urls: pd.Series, suffixes: pd.Series, found: pd.Series) -> pd.Series:
+            return pd.Series(model.predict(features(urls.tolist(), rates.known(suffixes.tolist(), found.tolist()))))
 
-        return block(F.coalesce(url, F.lit("")))
+        found = self.rates.joined(rows, url_col)
+        score = block("url", "suffixes", "rates").alias("block_score")
+        return found.select("row", score).select("row.*", "block_score")
 
 
-def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> UrlModel:
-    """Fit on rows (url, y): y is 1 to block, 0 to allow. The trees see about
-    ``sample_rows`` of the distinct urls, chosen by hash; suffix rates see all."""
-    rows = labelled.select("url", F.col("y").cast("int").alias("y")).where("url IS NOT NULL AND y IN (0, 1)")
+def fit(rows: DataFrame, sample_rows: int = SAMPLE_ROWS) -> UrlModel:
+    """Fit on rows (url, y): y is 1 to block, 0 to allow, null if there is no label.
+    The trees see about ``sample_rows`` of the distinct labelled urls, chosen by
+    hash; suffix rates see all rows. A url with both labels is one to block."""
+    rows = staged(rows.select("url", F.col("y").cast("int").alias("y")).where("url IS NOT NULL"), "url-labels")
     rates = suffix_rates(rows)
-    sample = bounded_sample(rows.groupBy("url").agg(F.max("y").alias("y")), [F.col("url")], sample_rows) \
-        .orderBy("url").toPandas()
-    return UrlModel(BoostedTrees().fit(features(sample["url"].tolist(), rates), sample["y"].to_numpy()), rates)
+    labelled = rows.where("y IS NOT NULL").groupBy("url").agg(F.max("y").alias("y"))
+    sample = rates.joined(bounded_sample(labelled, [F.col("url")], sample_rows), "url") \
+        .select("url", "row.y", "suffixes", "rates").orderBy("url").toPandas()
+    known = rates.known(sample["suffixes"].tolist(), sample["rates"].tolist())
+    hidden = [zlib.crc32(s[0].encode("utf-8", "replace")) & 1 == 0 for s in sample["suffixes"]]
+    known[np.array(hidden, bool), :2] = rates.prior
+    return UrlModel(BoostedTrees().fit(features(sample["url"].tolist(), known), sample["y"].to_numpy()), rates)
 
 
 def judged(pages: DataFrame, rules: list[tuple[str, str]], model: UrlModel, url_col: str = "url",
            threshold: float = THRESHOLD) -> DataFrame:
     """``pages`` with host, path, rule, verdict and the trees' block_score."""
-    rows = with_parts(pages, url_col)
+    rows = with_parts(model.scored(pages.drop("block_score"), url_col), url_col)
     pattern, verdict = rule_for(F.col("host"), F.col("path"), rules)
-    rows = rows.withColumn("rule", pattern).withColumn("rule_verdict", verdict).withColumn("block_score", model.score(F.col(url_col)))
+    rows = rows.withColumn("rule", pattern)
     method = F.when(F.col("block_score") >= threshold, "block").otherwise("allow")
-    return rows.withColumn("verdict", F.coalesce("rule_verdict", method)).drop("rule_verdict")
+    return rows.withColumn("verdict", F.coalesce(verdict, method))
