@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .common import held_out, table
+from .mixing import Tempered
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -124,7 +125,7 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 MIX_TARGETS = {
-    "source": {"src0": 0.1},
+    "source": Tempered(0.5, fixed={"src0": 0.1}),
     "lang": {"en": 0.5, "fr": 0.18, "de": 0.18, "es": 0.14},
     "topic": {str(t): 1 / 8 for t in range(8)},
 }
