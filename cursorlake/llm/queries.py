@@ -40,6 +40,21 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(index, folder).drop("url")
 
 
+# base32: five hexadecimal digits of the digest at a time make four characters
+ORACLE["op7_warc"] = """
+WITH p AS (SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+                  sha1(coalesce(html, '')) AS hex FROM pages),
+d AS (SELECT *, max(page_id) OVER (PARTITION BY hex) AS last,
+             [CAST('0x' || substr(hex, 5 * CAST(i AS INTEGER) + 1, 5) AS BIGINT) FOR i IN range(8)] AS fives FROM p)
+SELECT page_id, payload_bytes,
+       list_aggregate(flatten([[substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((g >> b) & 31 AS INTEGER) + 1, 1)
+                                FOR b IN [15, 10, 5, 0]] FOR g IN fives]), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last THEN last END AS refers_to
+FROM d
+"""
+
+
 @query
 def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import topk
