@@ -610,4 +610,4 @@ def test_queries_and_oracles():
     import __spark_entry__ as entry
     names = set(entry.queries())
     assert set(QUERIES) <= names and set(ORACLE) <= set(QUERIES)
-    assert {int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")} == set(range(1, 14))
