@@ -7,12 +7,13 @@ so a row that is late by less than the watermark's delay gets the answer of the
 form. Rows behind the watermark are dropped by Spark and counted in the query's
 progress (``numRowsDroppedByWatermark``).
 
-State per key: the active shape (none after a clear), and the waiting rows as one
-Arrow block per slice and input batch. A key that holds most rows is never held
-whole: input comes in Arrow batches, each written to state by slices, and one
-slice (a minute) is folded at a time. Slices of a key are folded in order, whichever
-timer fires first. Rows without an event time are not kept waiting: they see, and
-set, the state of their arrival.
+State per key: the active shape (none after a clear), and the waiting rows in blocks.
+While few rows of a key wait (``FEW_ROWS``), those of an input batch are one block, whatever
+slices they fall into, so a key with rare rows costs a few calls to the state per batch
+and not some for each row. Beyond that, rows are written to state by slices: a key that
+holds most rows is never held whole, only its few rows and one slice (a minute) at a
+time. Rows of a key are folded in order, whichever timer fires first. Rows without an
+event time are not kept waiting: they see, and set, the state of their arrival.
 
 Integer columns with NULLs are doubles inside pandas, as in every pandas function of
 Spark: exact up to 2^53.
@@ -20,10 +21,11 @@ Spark: exact up to 2^53.
 
 from __future__ import annotations
 
+import itertools
+import pickle
 from collections.abc import Iterator
 
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +36,8 @@ from cursorlake.operators.active_shape import CLEAR, markers
 from cursorlake.streaming.ingest import WATERMARK_DELAY
 
 SLICE_MS = 60_000
+FEW_ROWS = 5_000  # of a key, held in blocks of several slices
+OUT_ROWS = 10_000  # per frame
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -44,69 +48,101 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set(PROVIDER, ROCKSDB)
 
 
-def packed(rows: pd.DataFrame) -> bytes:
-    table = pa.Table.from_pandas(rows, preserve_index=False)
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema) as writer:
-        writer.write_table(table)
-    return sink.getvalue().to_pybytes()
-
-
-def unpacked(block: bytes) -> pd.DataFrame:
-    return pa.ipc.open_stream(block).read_all().to_pandas()
+def _null(value) -> bool:
+    return value is None or value != value
 
 
 class ActiveShape(StatefulProcessor):
-    def __init__(self, columns: list[str], order: list[str], out: str, slice_ms: int):
-        self.columns, self.order, self.out, self.slice_ms = columns, order, out, slice_ms
+    """Rows are tuples of the input's columns, marker, key, time and time in ms. A
+    waiting one is kept with its turn, the number of the block it came in."""
+
+    def __init__(self, columns: list[str], order: list[str], out: str, slice_ms: int, few_rows: int = FEW_ROWS):
+        self.columns, self.out, self.slice_ms, self.few_rows = columns, out, slice_ms, few_rows
+        self.order = [columns.index(c) for c in order]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.active = handle.getValueState("active", "shape string")
-        self.blocks = handle.getMapState("blocks", "slice long", "n int")
+        self.held = handle.getValueState("held", "few long, turn long")  # rows in blocks of several slices; blocks so far
+        self.blocks = handle.getMapState("blocks", "slice long", "n int")  # by the first slice
         self.waiting = handle.getMapState("waiting", "slice long, block int", "rows binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         for pdf in rows:
-            pdf.columns = [*self.columns, "__marker", "__key", "__time", "__ms"]  # Spark renames those that begin with _
-            timeless = pdf["__ms"].isna()
-            if timeless.any():
-                yield self._folded(pdf[timeless])
-            timed = pdf[~timeless]
-            for number, part in timed.groupby((timed["__ms"].astype("int64") // self.slice_ms)):
-                number = int(number)
-                held = self.blocks.getValue((number,)) if self.blocks.containsKey((number,)) else None
-                n = held[0] if held else 0
-                self.waiting.updateValue((number, n), (packed(part),))
-                self.blocks.updateValue((number,), (n + 1,))
-                if not n:
-                    self.handle.registerTimer((number + 1) * self.slice_ms)
+            timeless, timed = [], []
+            for row in pdf.itertuples(index=False, name=None):
+                (timeless if _null(row[-1]) else timed).append(row)
+            if timeless:
+                yield from self._folded([(0, row) for row in timeless])
+            if timed:
+                few, turn = self.held.get() or (0, 0)
+                wide = few + len(timed) <= self.few_rows
+                for part in [timed] if wide else self._slices(timed):
+                    self._keep([(turn, row) for row in part], wide)
+                self.held.update((few + len(timed) if wide else few, turn + 1))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        over = expiredTimerInfo.getExpiryTimeInMs() // self.slice_ms  # slices below it are complete
-        for number in sorted(k[0] for k in self.blocks.keys() if k[0] < over):
-            n = self.blocks.getValue((number,))[0]
-            parts = [unpacked(self.waiting.getValue((number, i))[0]) for i in range(n)]
+        over = timerValues.getCurrentWatermarkInMs() // self.slice_ms  # slices below it are complete
+        ready = sorted((k[0], v[0]) for k, v in self.blocks.iterator() if k[0] < over)
+        waiting, read = [], 0
+        for number, n in ready:
+            complete, waiting = self._split(waiting, number)  # no later block holds rows before its first slice
+            yield from self._folded(complete)
             for i in range(n):
+                wide, rows = pickle.loads(self.waiting.getValue((number, i))[0])
+                waiting += rows
+                read += len(rows) if wide else 0
                 self.waiting.removeKey((number, i))
             self.blocks.removeKey((number,))
-            yield self._folded(pd.concat(parts, ignore_index=True))
-
-    def _folded(self, rows: pd.DataFrame) -> pd.DataFrame:
+        complete, waiting = self._split(waiting, over)
+        yield from self._folded(complete)
+        if waiting:
+            self._keep(waiting, True)
+        if read:
+            few, turn = self.held.get()
+            self.held.update((few - read + len(waiting), turn))
+
+    def _slice(self, row: tuple) -> int:
+        return int(row[-1]) // self.slice_ms
+
+    def _slices(self, rows: list[tuple]) -> list[list[tuple]]:
+        rows = sorted(rows, key=self._slice)
+        return [list(part) for _, part in itertools.groupby(rows, key=self._slice)]
+
+    def _split(self, waiting: list[tuple], number: int) -> tuple[list[tuple], list[tuple]]:
+        """The waiting rows of slices below that one, and the others."""
+        parts = ([], [])
+        for kept in waiting:
+            parts[self._slice(kept[1]) >= number].append(kept)
+        return parts
+
+    def _keep(self, waiting: list[tuple], wide: bool) -> None:
+        """One more block; a timer wakes it when its first slice is over."""
+        number = min(self._slice(row) for _, row in waiting)
+        n = (self.blocks.getValue((number,)) or (0,))[0]
+        self.waiting.updateValue((number, n), (pickle.dumps((wide, waiting), pickle.HIGHEST_PROTOCOL),))
+        self.blocks.updateValue((number,), (n + 1,))
+        if not n:
+            self.handle.registerTimer((number + 1) * self.slice_ms)
+
+    def _folded(self, rows: list[tuple]) -> Iterator[pd.DataFrame]:
         """The rows in order with the active shape after each; the last one's is kept."""
-        rows = rows.sort_values(self.order, kind="stable", na_position="first").reset_index(drop=True)
-        mark = rows["__marker"].astype(object).where(rows["__marker"].notna(), None)
-        before = self.active.get()[0] if self.active.exists() else None
-        if before is not None and mark.iloc[0] is None:
-            mark.iloc[0] = before
-        carried = mark.ffill()
-        last = carried.iloc[-1]
-        if last is not None and pd.notna(last) and last != CLEAR:
-            self.active.update((last,))
-        elif self.active.exists():
+        if not rows:
+            return
+        rows.sort(key=lambda r: (*[(False, 0) if _null(r[1][i]) else (True, r[1][i]) for i in self.order], r[0]))
+        before = shape = (self.active.get() or (None,))[0]
+        n, out = len(self.columns), []
+        for _, row in rows:
+            mark = row[n]
+            if not _null(mark):
+                shape = None if mark == CLEAR else mark
+            out.append((*row[:n], shape))
+        if shape is None and before is not None:
             self.active.clear()
-        shown = carried.where(carried.notna() & (carried != CLEAR), None)
-        return rows.iloc[:, : len(self.columns)].assign(**{self.out: shown})
+        elif shape != before:
+            self.active.update((shape,))
+        for at in range(0, len(out), OUT_ROWS):
+            yield pd.DataFrame.from_records(out[at: at + OUT_ROWS], columns=[*self.columns, self.out])
 
     def close(self) -> None:
         pass

@@ -3,11 +3,13 @@
 import random
 import time
 
+import pandas as pd
 import pytest
+from pyspark.sql.streaming.stateful_processor import TimerValues
 
 from cursorlake.operators.active_shape import active_shape_single_window
 from cursorlake.session import work_dir
-from cursorlake.streaming.active_shape_ordered import active_shape_in_order
+from cursorlake.streaming.active_shape_ordered import ActiveShape, active_shape_in_order
 from cursorlake.streaming.ingest import await_all
 
 SCHEMA = "who string, event_id long, timestamp long, event_type string, shape_id string, note string"
@@ -77,3 +79,95 @@ def test_rows_without_a_time(spark):
     rows = [("a", 1, None, "mousedown", "s9", None), ("a", 2, None, "mousemove", None, None), ("a", 3, T0, "mousemove", None, None)]
     got, _ = _run(spark, [rows, [("a", 4, None, "mousemove", None, None)], [TICK]])
     assert {r.event_id: r.active_shape for r in got.where("event_id > 0").collect()} == {1: "s9", 2: "s9", 3: "s9", 4: "s9"}
+
+
+class _Batches:
+    """An ActiveShape with its state in plain dicts, which counts the calls."""
+
+    def __init__(self, few_rows):
+        self.calls, outer = 0, self
+
+        class Value:
+            held = None
+
+            def get(self):
+                outer.calls += 1
+                return self.held
+
+            def update(self, value):
+                outer.calls += 1
+                self.held = value
+
+            def clear(self):
+                self.held = None
+
+        class Map(dict):
+            def getValue(self, key):
+                outer.calls += 1
+                return self.get(key)
+
+            def updateValue(self, key, value):
+                outer.calls += 1
+                self[key] = value
+
+            def removeKey(self, key):
+                outer.calls += 1
+                del self[key]
+
+            def iterator(self):
+                outer.calls += 1
+                return iter(list(self.items()))
+
+        class Handle:
+            timers = set()
+
+            def getValueState(self, *_):
+                return Value()
+
+            def getMapState(self, *_):
+                return Map()
+
+            def registerTimer(self, at):
+                outer.calls += 1
+                outer.timers.add(at)
+
+        self.timers = set()
+        self.fold = ActiveShape(["timestamp", "event_id"], ["timestamp", "event_id"], "shape", 1_000, few_rows)
+        self.fold.init(Handle())
+
+    def give(self, rows):
+        pdf = pd.DataFrame([(ms, i, mark, "k", None, ms) for ms, i, mark in rows])
+        assert not list(self.fold.handleInputRows(("k",), iter([pdf]), None))
+
+    def at(self, watermark):
+        out = []
+        for timer in sorted(t for t in self.timers if t < watermark):
+            self.timers.discard(timer)
+            out += self.fold.handleExpiredTimer(("k",), TimerValues(0, watermark), None)
+        return [tuple(r) for pdf in out for r in pdf.itertuples(index=False)]
+
+
+@pytest.mark.parametrize("few_rows", [0, 40, 5_000])
+def test_blocks_of_several_slices(few_rows):
+    """Rows come whole and in order at any watermark, in blocks or by slices; none stays."""
+    r, got = random.Random(3), []
+    rows = [(r.randrange(60_000), i, r.choice(["a", "b", "", None, None])) for i in range(400)]
+    state = _Batches(few_rows)
+    for turn, part in enumerate([rows[i::4] for i in range(4)]):
+        state.give([x for x in part if x[0] >= turn * 5_000])
+        got += state.at(turn * 5_000 + 500)
+    got += state.at(100_000)
+    rows = sorted(x for turn in range(4) for x in rows[turn::4] if x[0] >= turn * 5_000)
+    want, shape = [], None
+    for ms, i, mark in rows:
+        shape = shape if mark is None else mark or None
+        want.append((ms, i, shape))
+    assert [(ms, i, s if isinstance(s, str) else None) for ms, i, s in got] == want
+    assert not state.fold.blocks and not state.fold.waiting and not state.timers and state.fold.held.get()[0] == 0
+
+
+def test_calls_to_state_follow_batches_and_not_rows():
+    """A key of 300 rows in 300 slices."""
+    state = _Batches(5_000)
+    state.give([(i * 1_000, i, "a") for i in range(300)])
+    assert len(state.at(1_000_000)) == 300 and state.calls < 30
