@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cursorlake.session import shared_root, work_dir  # noqa: F401  (re-exported)
@@ -94,6 +96,32 @@ def per_worker(kind: str, key: object, make: Callable[[], object]) -> object:
     return kept[kind][1]
 
 
+def forget_worker() -> None:
+    """Drop what :func:`per_worker` keeps in this worker for the tasks of other stages."""
+    import pyspark
+    pyspark.__dict__.pop("_kept_by_worker", None)
+
+
+def release_memory() -> None:
+    """Give free memory back to the system. Arrow and the C library would keep what one
+    batch took for as long as the worker lives, beside what later stages take."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def lean(batches: Iterator) -> Iterator:
+    """The batches of a task that uses no object of :func:`per_worker`; free memory
+    goes back after each."""
+    forget_worker()
+    for b in batches:
+        yield b
+        del b
+        release_memory()
+    release_memory()
+
+
 def held_out(id_col: str, modulus: int) -> Column:
     """crc32 of the id's decimal text leaves remainder 0 (a null id: as '')."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % modulus == 0

@@ -32,7 +32,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import staged, text_batches, unit_hash
+from .common import lean, staged, text_batches, unit_hash
 
 TOPICS = 8  # a power of two
 TOPIC_LETTERS = 5
@@ -101,10 +101,11 @@ def described(text: Column) -> Column:
     """struct(v, n_tokens) of a text: its vector as two-byte numbers, null if all
     are zeros, and its white-space words."""
     @F.pandas_udf("v binary, n_tokens long")
-    def describe(texts: pd.Series) -> pd.DataFrame:
-        v, tokens = vectors(pa.array(texts, pa.large_string()))
-        packed = [x.tobytes() if x.any() else None for x in v.astype("<i2")]
-        return pd.DataFrame({"v": pd.Series(packed, dtype=object), "n_tokens": tokens})
+    def describe(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in lean(batches):
+            v, tokens = vectors(pa.array(texts, pa.large_string()))
+            packed = [x.tobytes() if x.any() else None for x in v.astype("<i2")]
+            yield pd.DataFrame({"v": pd.Series(packed, dtype=object), "n_tokens": tokens})
 
     return describe(F.coalesce(text, F.lit("")))
 
@@ -131,8 +132,9 @@ class Topics:
         model = self
 
         @F.pandas_udf("string")
-        def topic(vs: pd.Series, langs: pd.Series) -> pd.Series:
-            return pd.Series([str(k) if k >= 0 else None for k in model.assign(stacked(vs), langs.tolist())], dtype=object)
+        def topic(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+            for vs, langs in lean(batches):
+                yield pd.Series([str(k) if k >= 0 else None for k in model.assign(stacked(vs), langs.tolist())], dtype=object)
 
         return topic(v, lang)
 
@@ -149,7 +151,7 @@ def summed(rows: DataFrame, key, value) -> dict:
     batches, and Spark the tasks by key and column."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict = {}
-        for b in batches:
+        for b in lean(batches):
             v, lang = stacked(b["v"]), b["lang"].tolist()
             keys, x = np.array(key(v, lang), dtype=object), value(v, lang)
             for k in dict.fromkeys(keys.tolist()):

@@ -40,7 +40,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import mix64, staged, text_batches
+from .common import lean, mix64, release_memory, staged, text_batches
 from .graph import components
 
 SHINGLE = 5
@@ -51,7 +51,7 @@ SMALL = 8
 ESTIMATE = 0.5
 BLOCK_TEXTS = 2048
 BLOCK_BYTES = 16 << 20
-RUN_BYTES = 8 << 20
+RUN_BYTES = 2 << 20
 BLOCK = 1 << 16
 NO_WORDS = r"[^\p{L}\p{N}]+"
 PLACES = 64
@@ -207,7 +207,7 @@ def word_weights(docs: DataFrame, text: Column, common: float = COMMON) -> Weigh
     """Inverse document frequencies of the common words, and that of the rest."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = []
-        for b in batches:
+        for b in lean(batches):
             for part in runs(b, "text"):
                 words = Words(part.column("text"))
                 n = len(words.hash)
@@ -248,7 +248,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, weights: Weights) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler(BANDS * ROWS)
-        for b in batches:
+        for b in lean(batches):
             for part in runs(b, "text"):
                 words = Words(part.column("text"))
                 full = words.size > 0
@@ -295,7 +295,7 @@ def bucket_texts(docs: DataFrame, nodes: DataFrame, buckets: DataFrame, id_col:
 def verified(pairs: DataFrame, texts: DataFrame, weights: Weights, threshold: float = THRESHOLD) -> DataFrame:
     """The pairs (a, b) whose whole texts are similar enough."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in lean(batches):
             for part in runs(b, "y"):
                 a, first, of = np.unique(part.column("a").to_numpy(), return_index=True, return_inverse=True)
                 left = weights.shingles(Words(part.column("x").take(pa.array(first))))
@@ -414,6 +414,8 @@ def block_links(blocks: DataFrame, nodes: DataFrame, texts: DataFrame, weights:
                 if p != q:
                     of[max(p, q)] = min(p, q)
                     found.append((int(node[i]), int(node[j])))
+        if rows.nbytes > RUN_BYTES:
+            release_memory()
         return pa.Table.from_arrays([pa.array([min(f) for f in found], pa.int64()), pa.array([max(f) for f in found], pa.int64())],
                                     schema=schema)
 

@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import frames, staged, text_batches
+from .common import frames, lean, staged, text_batches
 
 SHRINK = 0.1
 THRESHOLD = 0.3
@@ -68,7 +68,7 @@ def feature_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     text_batches(docs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in lean(batches):
             yield from frames({"doc_id": b["doc_id"], "f": [features(t) for t in b["text"]]})
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -145,8 +145,9 @@ def scored(feature_rows: DataFrame, model: Discriminant, threshold: float = THRE
 def text_score(model: Discriminant, text: Column) -> Column:
     """The score of a text column (null: as empty)."""
     @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.score(np.stack([features(t) for t in texts])))
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in lean(batches):
+            yield pd.Series(model.score(np.stack([features(t) for t in texts])))
 
     return score(F.coalesce(text, F.lit("")))
 

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import dealt_by_bytes, frames, per_worker, staged, text_batches, work_dir
+from .common import dealt_by_bytes, frames, lean, per_worker, release_memory, staged, text_batches, work_dir
 from .files import AtomicFile, store
 
 HEAD = "<4sIQQ"
@@ -36,7 +36,7 @@ CACHED_WORDS = 600_000
 CACHED_CHARS = 64
 SPECIAL = "<|"
 END_MARKS = r"([a-z])([!-/:-@\[-`{-~]+)([ \n]|$)"
-RUN_BYTES = 8 << 20
+RUN_BYTES = 2 << 20
 # length of each of the four values of a control byte
 LENGTHS = 1 + ((np.arange(256)[:, None] >> np.arange(0, 8, 2)) & 3).astype(np.uint8)
 
@@ -175,6 +175,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, dtype: str = "<u
                 part = b.slice(at, n)
                 yield pa.RecordBatch.from_arrays([part.column(0), encode(part.column(1))], ["doc_id", "ids"])
                 at += n
+            release_memory()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -186,7 +187,7 @@ def id_counts(tokens: DataFrame, vocabulary: int, dtype: str) -> np.ndarray:
     per id of the vocabulary."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(vocabulary, np.int64)
-        for b in batches:
+        for b in lean(batches):
             total += np.bincount(np.frombuffer(b"".join(b["ids"]), dtype), minlength=vocabulary)
         used = np.flatnonzero(total)
         yield from frames({"id": used, "n": total[used]})
@@ -228,7 +229,7 @@ def write(tokens: DataFrame, folder: str, vocabulary: int, dtype: str) -> DataFr
             rows.append((part, len(rows), file.write(block), len(block), len(ids)))
             held, n = [], 0
 
-        for b in batches:
+        for b in lean(batches):
             for key, ids in zip(b["doc_id"].astype(object), b["ids"]):
                 file = file or AtomicFile(folder, f"part-{part:05d}.tid")
                 held.append((key, ids))
@@ -262,7 +263,7 @@ def read(index: DataFrame, folder: str) -> DataFrame:
         fs, root = store(folder)
         with fs.open_input_stream(f"{root}/ranks.u32") as f:
             by_rank = np.frombuffer(f.read(), "<u4")
-        for b in batches:
+        for b in lean(batches):
             for part, place, size, start in zip(b["part"], b["place"], b["size"], b["start"]):
                 with fs.open_input_file(f"{root}/part-{part:05d}.tid") as f:
                     raw = f.read_at(int(size), int(place))
