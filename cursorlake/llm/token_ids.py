@@ -17,7 +17,7 @@ from __future__ import annotations
 import os
 import struct
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -37,6 +37,7 @@ CACHED_CHARS = 64
 SPECIAL = "<|"
 END_MARKS = r"([a-z])([!-/:-@\[-`{-~]+)([ \n]|$)"
 RUN_BYTES = 2 << 20
+LOOKUP_BYTES = 8 << 20  # of texts whose words are looked up together
 # length of each of the four values of a control byte
 LENGTHS = 1 + ((np.arange(256)[:, None] >> np.arange(0, 8, 2)) & 3).astype(np.uint8)
 
@@ -65,6 +66,16 @@ def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
     return value
 
 
+def cut(texts: pa.Array, most: int) -> Iterator[pa.Array]:
+    """Runs of about so many bytes at most, or single texts."""
+    size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(texts):
+        n = max(1, int(np.searchsorted(size, (size[at - 1] if at else 0) + most, side="right")) - at)
+        yield texts.slice(at, n)
+        at += n
+
+
 class WordEncoder:
     """Encodes whole texts by their distinct words, remembering frequent ones.
 
@@ -85,47 +96,60 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
-        self.known: dict[str, int] = {}
         self.flat, self.used = np.zeros(1 << 16, self.dtype), 0
         self.start, self.size = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int32)
-        self._add(["", " "], np.array([end_id], self.dtype), np.array([0, 1]))  # a space is in no word
+        self.known = pa.array(["", " "])  # a space is in no word
+        self._add(0, np.array([end_id], self.dtype), np.array([0, 1]))
 
     def _room(self, words: int, ids: int) -> None:
-        """Let the tables hold so many more words and ids."""
-        if len(self.known) + words > len(self.start):
-            n = 2 * (len(self.known) + words)
-            self.start, self.size = np.resize(self.start, n), np.resize(self.size, n)
-        if self.used + ids > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * (self.used + ids))
-
-    def _add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
-        self._room(len(words), len(ids))
-        a = len(self.known)
-        b = a + len(words)
-        self.start[a:b], self.size[a:b] = self.used + np.cumsum(sizes) - sizes, sizes
+        """Let the tables hold so many words and ids."""
+        if words > len(self.start):
+            self.start, self.size = np.resize(self.start, 2 * words), np.resize(self.size, 2 * words)
+        if ids > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * ids)
+
+    def _add(self, number: int, ids: np.ndarray, sizes: np.ndarray) -> int:
+        """Keep the ids of words from that number on; the next free number."""
+        end = number + len(sizes)
+        self._room(end, self.used + len(ids))
+        self.start[number:end], self.size[number:end] = self.used + np.cumsum(sizes) - sizes, sizes
         self.flat[self.used: self.used + len(ids)] = ids
         self.used += len(ids)
-        self.known.update(zip(words, range(a, b)))
-
-    def _learn(self, words: list[str]) -> None:
-        """Plain words in runs of one call each, split again at the pieces that
-        end a word; all others one by one."""
-        plain = [w for w in words if w.isalpha() and len(w) <= CACHED_CHARS]
-        for at in range(0, len(plain), 4096):
-            part = plain[at: at + 4096]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, self.dtype)
+        return end
+
+    def _learn(self, new: pa.Array) -> np.ndarray:
+        """Numbers of distinct new words. Plain ones go in runs of one call each, split
+        again at the pieces that end a word; all others one by one."""
+        words = new.to_pylist()
+        plain = np.fromiter((w.isalpha() and len(w) <= CACHED_CHARS for w in words), bool, len(words))
+        places, at = np.flatnonzero(plain), len(self.known)
+        order = []
+        for a in range(0, len(places), 4096):
+            part = places[a: a + 4096]
+            text = " ".join([words[i] for i in part])
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) == len(part):
-                self._add(part, ids, np.diff(stops, prepend=0))
-        other = [w for w in words if w not in self.known]
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(other, add_special_tokens=False)]
-        self._add(other, np.array(list(chain.from_iterable(found)), self.dtype), np.array([len(x) for x in found], np.int64))
-
-    def _numbers(self, words: list[str]) -> np.ndarray:
+                at = self._add(at, ids, np.diff(stops, prepend=0))
+                order.append(part)
+            else:
+                plain[part] = False
+        places = np.flatnonzero(~plain)
+        found = [e.ids for e in self.tokenizer.encode_batch_fast([words[i] for i in places], add_special_tokens=False)]
+        self._add(at, np.array(list(chain.from_iterable(found)), self.dtype), np.array([len(x) for x in found], np.int64))
+        order = np.concatenate([*order, places])
+        number = np.empty(len(words), np.int64)
+        number[order] = len(self.known) + np.arange(len(words))
+        self.known = pa.concat_arrays([self.known, new.take(pa.array(order))])
+        return number
+
+    def _numbers(self, words: pa.Array) -> np.ndarray:
         """Word numbers of distinct words; new ones are learnt."""
-        known = self.known
-        self._learn([w for w in words if w not in known])
-        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        number = pc.index_in(words, value_set=self.known).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            number[new] = self._learn(words.take(pa.array(new)))
+        return number
 
     def _gather(self, numbers: np.ndarray) -> np.ndarray:
         """The ids of a row of word numbers."""
@@ -139,24 +163,36 @@ class WordEncoder:
         """Keep the words seen first, which are the frequent ones."""
         if len(self.known) > CACHED_WORDS or self.used > 8 * CACHED_WORDS:
             n = min(len(self.known), CACHED_WORDS) // 2
-            self.known = {w: i for w, i in islice(self.known.items(), n)}
+            self.known = pa.concat_arrays([self.known.slice(0, n)])
             self.used = int((self.start[:n] + self.size[:n]).max(initial=0))
 
-    def __call__(self, texts: pa.Array) -> pa.Array:
-        """Packed ids of every text, the end id included."""
-        self._forget()
+    def _lists(self, texts: pa.Array) -> pa.Array:
+        """The words of every text."""
         if not pc.any(pc.match_substring(texts, SPECIAL)).as_py():
             texts = pc.replace_substring_regex(pc.ascii_lower(texts), END_MARKS, r"\1 \2\3")
-        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
-        words = lists.flatten().dictionary_encode()
-        number = self._numbers(words.dictionary.to_pylist())[words.indices.to_numpy()]
-        stops = lists.offsets.to_numpy()
-        number = np.insert(number, stops[1:] - stops[0], 1)
-        out = self._gather(number)
-        n_words = np.diff(stops)
-        per_doc = np.add.reduceat(self.size[number], np.cumsum(n_words + 1) - n_words - 1, dtype=np.int64)
-        offsets = np.concatenate([[0], np.cumsum(per_doc)]) * self.dtype.itemsize
-        return pa.Array.from_buffers(pa.binary(), len(per_doc), [None, pa.py_buffer(offsets.astype("<i4")), pa.py_buffer(out)])
+        return pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+
+    def runs(self, texts: pa.Array) -> Iterator[pa.Array]:
+        """Packed ids of every text, the end id included, in arrays of few bytes. Words
+        are told apart and looked up once for several of these."""
+        for several in cut(texts, LOOKUP_BYTES):
+            self._forget()
+            lists = [self._lists(x) for x in cut(several, RUN_BYTES)]
+            words = pa.chunked_array([x.flatten() for x in lists]).dictionary_encode().unify_dictionaries()
+            numbers = self._numbers(words.chunk(0).dictionary)
+            for x, w in zip(lists, words.chunks):
+                number, stops = numbers[w.indices.to_numpy()], x.offsets.to_numpy()
+                number = np.insert(number, stops[1:] - stops[0], 1)
+                out = self._gather(number)
+                n_words = np.diff(stops)
+                per_doc = np.add.reduceat(self.size[number], np.cumsum(n_words + 1) - n_words - 1, dtype=np.int64)
+                offsets = np.concatenate([[0], np.cumsum(per_doc)]) * self.dtype.itemsize
+                yield pa.Array.from_buffers(pa.binary(), len(per_doc),
+                                            [None, pa.py_buffer(offsets.astype("<i4")), pa.py_buffer(out)])
+
+    def __call__(self, texts: pa.Array) -> pa.Array:
+        """Packed ids of every text, the end id included."""
+        return pa.concat_arrays(self.runs(texts)) if len(texts) else pa.array([], pa.binary())
 
 
 def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, dtype: str = "<u4",
@@ -168,13 +204,10 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, dtype: str = "<u
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = per_worker("tokenizer", key, lambda: WordEncoder(*key))
         for b in batches:
-            size = np.cumsum(pc.binary_length(b.column(1)).to_numpy(zero_copy_only=False))
             at = 0
-            while at < b.num_rows:  # runs of bounded length, or single texts
-                n = max(1, int(np.searchsorted(size, (size[at - 1] if at else 0) + RUN_BYTES, side="right")) - at)
-                part = b.slice(at, n)
-                yield pa.RecordBatch.from_arrays([part.column(0), encode(part.column(1))], ["doc_id", "ids"])
-                at += n
+            for ids in encode.runs(b.column(1)):
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(ids)), ids], ["doc_id", "ids"])
+                at += len(ids)
             release_memory()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),

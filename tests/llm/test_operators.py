@@ -325,6 +325,19 @@ def test_word_encoder_edges(cache, monkeypatch):
         assert got == [[*x.ids, 1] for x in e.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_words_are_looked_up_once_for_several_runs(monkeypatch):
+    """Each run of its own would make strings of the same words over and over."""
+    monkeypatch.setattr(token_ids, "RUN_BYTES", 200)
+    texts = ["", *(prose(k % 7, 20) + ", 3.14 " for k in range(60)), "<|endoftext|> END", ""]
+    e = token_ids.WordEncoder(tokenizer_path(), 1, "<u2")
+    asked, numbers = [], e._numbers
+    monkeypatch.setattr(e, "_numbers", lambda words: asked.append(len(words)) or numbers(words))
+    got = list(e.runs(pa.array(texts)))
+    assert len(got) > 20 and len(asked) == 1
+    ids = [np.frombuffer(x, "<u2").tolist() for part in got for x in part.to_pylist()]
+    assert ids == [[*x.ids, 1] for x in e.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
 # --- 6: quality ----------------------------------------------------------------------------
 
 def test_quality_held_out(spark):
