@@ -7,10 +7,11 @@ by its format and its context; a threshold per kind, calibrated on held-out
 examples, decides what is added. Base spans always stay, and an added span never
 overlaps another span.
 
-Training needs no labels: base spans of a bounded sample of texts are positive,
-also in disguises (spelt-out signs, other separators, a missing plus), each in
-its own context; candidates that touch no base span are negative. The sample's
-size is a parameter; every text is scored whole.
+Training needs no labels: base spans of all texts are positive, also in disguises
+(spelt-out signs, other separators, a missing plus), each in its own context;
+candidates that touch no base span are negative. Different examples count once.
+Trees and thresholds come from all of them, by sums in Spark; a caller may ask for
+a sample of the texts instead. Every text is scored whole.
 
 Positions are code points, ends exclusive. A null text counts as empty.
 """
@@ -26,10 +27,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .boosting import BoostedTrees
-from .common import frames, text_batches, unit_hash
+from .common import drop_staged, frames, staged, text_batches, unit_hash, written
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE_TEXTS = 4000
 SAMPLE_SPANS = 20_000
 MAX_FALSE = 0.001
 AROUND = 24
@@ -172,6 +172,28 @@ class PiiModel:
                 thresholds[k] = max(0.9, np.nextafter(limit, 2))
         return cls(trees, thresholds)
 
+    @classmethod
+    def fit_rows(cls, rows: DataFrame, max_false: float = MAX_FALSE) -> "PiiModel":
+        """The same from all rows (kind, y, x, fold) of a table, however many."""
+        trees = BoostedTrees(trees=50).fit_rows(rows.where("fold > 0"))
+        text_batches(rows.sparkSession, 8192)
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                if len(b):
+                    score = trees.predict(np.stack(b["x"]))
+                    yield pd.DataFrame({"kind": b["kind"], "y": b["y"], "bits": score.view(np.int64)})
+
+        scores = staged(rows.where("fold = 0").mapInPandas(run, "kind int, y int, bits long"), "pii-scores")
+        count = {(x.kind, x.y): x.n for x in scores.groupBy("kind", "y").agg(F.count("*").alias("n")).collect()}
+        n_bad = {k: count[k, 0] for k in range(len(KINDS)) if (k, 0) in count}
+        limits = kth_largest(scores.where("y = 0"), {k: int(max_false * n) for k, n in n_bad.items()})
+        thresholds = np.full(len(KINDS), 2.0)
+        for k in range(len(KINDS)):
+            if (k, 1) in count:
+                thresholds[k] = max(0.9, np.nextafter(limits.get(k, 0.0), 2))
+        return cls(trees, thresholds)
+
     def added(self, texts: list[str], base: list[list[tuple[int, int, int]]]) -> list[list[tuple[int, int, int]]]:
         """Accepted candidates per text: best scores first, no overlaps."""
         found = [[c for c in candidates(t) if all(c[2] <= s or e <= c[0] for s, _, e in b)] for t, b in zip(texts, base)]
@@ -187,10 +209,33 @@ class PiiModel:
         return out
 
 
-def fit(docs: DataFrame, text_col: str = "text", sample_texts: int = SAMPLE_TEXTS, sample_spans: int = SAMPLE_SPANS) -> PiiModel:
-    """Train on about ``sample_texts`` of the different texts, chosen by hash, and
-    at most ``sample_spans`` different examples of them."""
-    text_batches(docs.sparkSession)
+def kth_largest(scores: DataFrame, rank: dict[int, int]) -> dict[int, float]:
+    """Per kind the score that ``rank`` rows (kind, bits) lie before, largest first.
+    ``bits`` are those of scores from 0 on, which have the order of the scores; each
+    job counts the rows by 16 more of them, so none is sorted."""
+    rank, found = dict(rank), dict.fromkeys(rank, 0)
+    for shift in (48, 32, 16, 0):
+        near = F.lit(False)
+        for k, prefix in found.items():
+            near = near | ((F.col("kind") == k) & (F.shiftright(F.shiftright("bits", shift), 16) == prefix))
+        digit = F.shiftright("bits", shift).bitwiseAND(F.lit(0xFFFF).cast("long")).alias("digit")
+        counts = scores.where(near).groupBy("kind", digit).agg(F.count("*").alias("n")).orderBy(F.desc("digit")).collect()
+        for k in found:
+            for x in counts:
+                if x.kind == k:
+                    if rank[k] < x.n:
+                        found[k] = found[k] << 16 | x.digit
+                        break
+                    rank[k] -= x.n
+    return {k: float(np.int64(v).view(np.float64)) for k, v in found.items()}
+
+
+def fit(docs: DataFrame, text_col: str = "text", sample_texts: int | None = None, sample_spans: int = SAMPLE_SPANS) -> PiiModel:
+    """Train on the different examples of all texts; or, if ``sample_texts`` is given,
+    on about so many of the different texts, chosen by hash, and at most
+    ``sample_spans`` different examples of them."""
+    spark, before = docs.sparkSession, written()
+    text_batches(spark)
     n = len(features(0, "", "", ""))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -198,12 +243,19 @@ def fit(docs: DataFrame, text_col: str = "text", sample_texts: int = SAMPLE_TEXT
             got = [x for t in b["text"] for x in examples(t)]
             yield from frames(dict(zip(("kind", "y", "x", "fold"), zip(*got))) if got else {})
 
+    def different(texts: DataFrame) -> DataFrame:
+        return texts.mapInPandas(run, "kind int, y int, x array<double>, fold int").distinct()
+
     texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    if sample_texts is None:
+        model = PiiModel.fit_rows(staged(different(texts), "pii-examples"))
+        drop_staged(spark, before, keep=0)
+        text_batches(spark)
+        return model
     n_texts = texts.select(F.xxhash64("text").alias("h")).distinct().count()
     if n_texts > sample_texts:
         texts = texts.where(unit_hash(F.col("text")) < sample_texts / n_texts)
-    rows = texts.distinct().mapInPandas(run, "kind int, y int, x array<double>, fold int").distinct()
-    got = rows.orderBy(F.xxhash64("x"), "kind", "y", "fold").limit(sample_spans).toPandas()
+    got = different(texts.distinct()).orderBy(F.xxhash64("x"), "kind", "y", "fold").limit(sample_spans).toPandas()
     if not len(got):
         return PiiModel(BoostedTrees().fit(np.zeros((0, n)), np.zeros(0)), np.full(len(KINDS), 2.0))
     return PiiModel.fit(got["kind"].to_numpy(), got["y"].to_numpy(), np.stack(got["x"]), got["fold"].to_numpy())
