@@ -20,6 +20,7 @@ from .common import drop_staged, frames, lean, staged, text_batches, written
 
 BLOCK_ROWS = 8192  # of a table that lie and are added up together
 TASK_ROWS = 1 << 16
+SUM_TASKS = 4  # that add up the tasks' few sums; the session's number would make each of many jobs slow
 ADDED_TREES = 10  # after which the rows keep their sums anew
 ONE = float(1 << 30)  # gradients are summed as whole numbers, so in any order
 
@@ -169,7 +170,8 @@ class BoostedTrees:
             slot = np.flatnonzero(h)
             yield from frames({"slot": slot, "g": g[slot], "h": h[slot]})
 
-        got = blocks.mapInPandas(run, "slot int, g long, h long").groupBy("slot").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toPandas()
+        parts = blocks.mapInPandas(run, "slot int, g long, h long").repartition(SUM_TASKS, "slot")
+        got = parts.groupBy("slot").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toPandas()
         sums = np.zeros((2, int(np.prod(shape))))
         sums[:, got["slot"].to_numpy(int)] = got[["g", "h"]].to_numpy().T / ONE
         return list(sums.reshape(2, *shape))
