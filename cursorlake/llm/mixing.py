@@ -138,6 +138,20 @@ class Topics:
 
         return topic(v, lang)
 
+    def of_text(self, text: Column, lang: Column) -> Column:
+        """As :meth:`of` of a text's :func:`described` vector, in one call: of several calls
+        in one task each holds a Python worker, which stays for the stages that follow.
+        For the same reason Spark must not evaluate it again in a filter before a join."""
+        model = self
+
+        @F.pandas_udf("string")
+        def topic(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+            for texts, langs in lean(batches):
+                v, _ = vectors(pa.array(texts, pa.large_string()))
+                yield pd.Series([str(k) if k >= 0 else None for k in model.assign(v, langs.tolist())], dtype=object)
+
+        return topic.asNondeterministic()(F.coalesce(text, F.lit("")), lang)
+
 
 def stacked(vs: pd.Series) -> np.ndarray:
     """Vectors of a column of packed ones."""
@@ -263,11 +277,12 @@ def cell_weights(rows: DataFrame, targets: dict[str, dict[str, float]]) -> dict[
 
 
 def with_probability(rows: DataFrame, weights: dict[tuple[str, ...], float], targets: dict[str, dict[str, float]]) -> DataFrame:
-    """Adds weight and probability, joined with the table of cells."""
+    """Adds weight and probability, joined with the table of cells. That is made by way
+    of Arrow; rows of Python objects would take Python workers of their own."""
     top = max(weights.values(), default=1.0) or 1.0
     keys = [f"cell_{d}" for d in DIMENSIONS]
-    cells = rows.sparkSession.createDataFrame([(*k, w) for k, w in weights.items()],
-                                              ", ".join(f"{k} string" for k in keys) + ", weight double")
+    columns = [pa.array(c, pa.string()) for c in zip(*weights)] + [pa.array(weights.values(), pa.float64())]
+    cells = rows.sparkSession.createDataFrame(pa.table(columns, [*keys, "weight"]))
     for k, d in zip(keys, DIMENSIONS):
         rows = rows.withColumn(k, grouped(F.col(d), targets[d]))
     return rows.join(F.broadcast(cells), keys, "left").drop(*keys).withColumn("probability", F.col("weight") / top)
@@ -312,5 +327,6 @@ def sample(docs: DataFrame, targets: dict) -> DataFrame:
     cells = staged(_topical(rows, topics), "mix-cells")
     goals = resolved(cells, targets)
     weights = cell_weights(cells, goals)
-    held = _topical(_described(docs, targets, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _draw()), topics)
+    topic = topics.of_text(F.col("text"), grouped(F.col("lang"), language_groups(targets)))
+    held = docs.select("source", "lang", topic.alias("topic"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _draw())
     return with_probability(held, weights, goals).where(F.col("draw") < F.col("probability")).select("row.*")

@@ -6,7 +6,10 @@ import sys
 
 import pytest
 
-from cursorlake.llm import common
+from cursorlake.llm import common, mixing
+from cursorlake.llm.queries import MIX_TARGETS
+
+from .helpers import doc, docs, prose
 
 HELD = """
 import re
@@ -50,3 +53,11 @@ def test_objects_stay_until_another_stage_runs():
     assert list(common.lean(iter([1, 2]))) == [1, 2]
     common.per_worker("kind", 1, lambda: made.append(1))
     assert len(made) == 2
+
+
+def test_mixing_takes_one_python_worker_per_task(spark):
+    """Each Python step of a task holds a worker, which idles beside the next stage's."""
+    rows = docs(spark, [doc(i, prose(i, 30), source=f"src{i % 3}") for i in range(60)])
+    plan = mixing.sample(common.staged(rows, "rows"), MIX_TARGETS)._jdf.queryExecution().executedPlan().toString()
+    steps = [line for line in plan.splitlines() if re.match(r"[ :+-]*(ArrowEvalPython|Scan ExistingRDD)", line)]
+    assert len(steps) == 1 and "ArrowEvalPython" in steps[0]
