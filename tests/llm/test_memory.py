@@ -6,7 +6,7 @@ import sys
 
 import pytest
 
-from cursorlake.llm import common, mixing
+from cursorlake.llm import common, graph, mixing
 from cursorlake.llm.queries import MIX_TARGETS
 
 from .helpers import doc, docs, prose
@@ -61,3 +61,27 @@ def test_mixing_takes_one_python_worker_per_task(spark):
     plan = mixing.sample(common.staged(rows, "rows"), MIX_TARGETS)._jdf.queryExecution().executedPlan().toString()
     steps = [line for line in plan.splitlines() if re.match(r"[ :+-]*(ArrowEvalPython|Scan ExistingRDD)", line)]
     assert len(steps) == 1 and "ArrowEvalPython" in steps[0]
+
+
+def test_rounds_of_components_write_files_by_their_links(spark, monkeypatch):
+    """Not one for each shuffle partition, even if adaptive execution joins none."""
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    files = []
+
+    def staged(df, name):
+        out = common.staged(df, name)
+        files.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(graph, "staged", staged)
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        edges = spark.createDataFrame([(i, i + 1) for i in range(60) if i != 30] + [(70, 80), (80, 70), (90, 90)], "a long, b long")
+        got = {r["node"]: r["root"] for r in graph.components(edges).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {i: 0 if i <= 30 else 31 for i in range(61)} | {70: 70, 80: 70}
+    assert files[0] > 10 and len(files) > 2 and max(files[1:]) == 1
